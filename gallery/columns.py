@@ -94,7 +94,7 @@ def _named(name, formula, sql_code, names, sql_names):
     @query(name, sql)
     def run(spark, sf_dir):
         trips = fixture.line_trips(spark, sf_dir).select(*KEYS, F.expr(formula).alias("code"))
-        return trips.withColumn("label", codes.translate(F.col("code"), names))
+        return trips.withColumn("label", codes.translate("code", names))
 
 
 _named("c09_vendor", "1 + l_suppkey % 8", "1 + l_suppkey % 8", codes.VENDORS, "vendor_names")

@@ -425,7 +425,7 @@ def dry_baseline(spark, sf_dir):
     "n03_share",
     """SELECT pickup_borough, taxi_type, sum(trips)::BIGINT AS trips,
         round(sum(trips) / sum(sum(trips)) OVER (PARTITION BY pickup_borough), 6) AS share
-        FROM trips_hourly GROUP BY ALL""",
+        FROM trips_hourly GROUP BY pickup_borough, taxi_type""",
 )
 def share(spark, sf_dir):
     grouped = (

@@ -68,10 +68,7 @@ SERVICE_LABELS = {
 }
 
 
-def translate(code: Column, names: Mapping[int | str, str]) -> Column:
-    """The name of a code; NULL for a code that is not listed."""
-    (first, name), *rest = names.items()
-    chain = F.when(code == F.lit(first), F.lit(name))
-    for value, name in rest:
-        chain = chain.when(code == F.lit(value), F.lit(name))
-    return chain
+def translate(code: str, names: Mapping[int | str, str]) -> Column:
+    """The name for the code in a column; NULL for a code that is not listed."""
+    cases = " ".join(f"WHEN {value!r} THEN '{name}'" for value, name in names.items())
+    return F.expr(f"CASE {code} {cases} END")

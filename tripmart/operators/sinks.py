@@ -56,7 +56,7 @@ def write_lake(
     chosen = parse_months(months)
     df = read_months(df, chosen)
     if regroup:
-        df = df.hint("rebalance", partition_by)
+        df = df.hint("rebalance", F.col(partition_by))
     (
         df.write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic" if chosen else "static")

@@ -35,7 +35,7 @@ def ratio(top: Column, bottom: Column) -> Column:
 
 
 def service_label() -> Column:
-    return translate(F.col("taxi_type"), SERVICE_LABELS)
+    return translate("taxi_type", SERVICE_LABELS)
 
 
 def hourly_columns() -> dict[str, Column]:

@@ -53,27 +53,33 @@ def _taxi(raw: DataFrame, lookup: DataFrame, service: str, extra: list[Column])
         f"{prefix}_pickup_datetime",
         f"{prefix}_dropoff_datetime",
         ("PULocationID", "DOLocationID"),
-    ).withColumn("passengers", int_column(raw, "passenger_count"))
+    ).withColumns(
+        {
+            "passengers": int_column(raw, "passenger_count"),
+            "vendor": int_column(raw, "VendorID"),
+            "rate_code": int_column(raw, "RatecodeID"),
+            "payment": int_column(raw, "payment_type"),
+        }
+    )
     kept = keyed.where(
         times_in_order("pickup_at", "dropoff_at")
         & present(*ZONE_IDS)
         & positive("trip_distance", "fare_amount", "total_amount")
         & unknown_or_positive(F.col("passengers"))
     )
-    vendor = int_column(raw, "VendorID")
     doubles = (
         "fare_amount extra mta_tax tip_amount tolls_amount improvement_surcharge "
         "congestion_surcharge total_amount"
     ).split()
     typed = kept.select(
-        vendor.alias("vendor_id"),
-        translate(vendor, VENDORS).alias("vendor_name"),
+        F.col("vendor").alias("vendor_id"),
+        translate("vendor", VENDORS).alias("vendor_name"),
         *_times(),
         F.col("passengers").alias("passenger_count"),
         to_double("trip_distance").alias("trip_distance_miles"),
-        translate(int_column(raw, "RatecodeID"), RATE_CODES).alias("rate_code_name"),
+        translate("rate_code", RATE_CODES).alias("rate_code_name"),
         to_text("store_and_fwd_flag").alias("store_and_fwd_flag"),
-        translate(int_column(raw, "payment_type"), PAYMENT_TYPES).alias("payment_type_name"),
+        translate("payment", PAYMENT_TYPES).alias("payment_type_name"),
         *[to_double(name).alias(name) for name in doubles],
         *extra,
         *ZONE_IDS,
@@ -87,8 +93,10 @@ def stage_yellow(raw: DataFrame, lookup: DataFrame) -> DataFrame:
 
 
 def stage_green(raw: DataFrame, lookup: DataFrame) -> DataFrame:
-    trip_type = translate(int_column(raw, "trip_type"), TRIP_TYPES).alias("trip_type_name")
-    return _taxi(raw, lookup, "green_taxi", [trip_type])
+    raw = raw.withColumn("trip_type", int_column(raw, "trip_type"))
+    return _taxi(
+        raw, lookup, "green_taxi", [translate("trip_type", TRIP_TYPES).alias("trip_type_name")]
+    )
 
 
 def stage_app_rides(raw: DataFrame, lookup: DataFrame) -> DataFrame:
@@ -129,7 +137,7 @@ def stage_high_volume(raw: DataFrame, lookup: DataFrame) -> DataFrame:
         "access_a_ride_flag wav_request_flag wav_match_flag"
     ).split()
     typed = kept.select(
-        translate(F.col("hvfhs_license_num"), COMPANIES).alias("company_name"),
+        translate("hvfhs_license_num", COMPANIES).alias("company_name"),
         *[to_text(name).alias(name) for name in texts],
         to_wall_clock("request_datetime").alias("request_datetime"),
         to_wall_clock("on_scene_datetime").alias("on_scene_datetime"),
@@ -144,9 +152,9 @@ def stage_high_volume(raw: DataFrame, lookup: DataFrame) -> DataFrame:
 
 
 def stage_weather(raw: DataFrame) -> DataFrame:
-    code = int_column(raw, "weather_code")
+    coded = raw.withColumn("code", int_column(raw, "weather_code"))
     return conform(
-        raw.select(
+        coded.select(
             to_wall_clock("time").alias("datetime"),
             to_double("temperature_2m").alias("temperature_c"),
             to_double("apparent_temperature").alias("apparent_temperature_c"),
@@ -154,8 +162,8 @@ def stage_weather(raw: DataFrame) -> DataFrame:
             to_double("precipitation").alias("precipitation_mm"),
             to_double("wind_speed_10m").alias("wind_speed_kmh"),
             int_column(raw, "wind_direction_10m").alias("wind_direction_deg"),
-            code.alias("weather_code"),
-            translate(code, WEATHER_CODES).alias("weather_description"),
+            F.col("code").alias("weather_code"),
+            translate("code", WEATHER_CODES).alias("weather_description"),
             PARTITION,
         ),
         STAGING["weather"],

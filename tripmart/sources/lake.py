@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from datetime import date
+from functools import lru_cache
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
@@ -78,7 +79,14 @@ def path_exists(spark: SparkSession, location: str) -> bool:
     return True
 
 
+@lru_cache(maxsize=None)
+def declared(schema: str) -> T.StructType:
+    """A DDL text of `tripmart.sources.schemas`, parsed once."""
+    return T.StructType.fromDDL(schema)
+
+
 def conform(df: DataFrame, schema: str) -> DataFrame:
     """Exactly the declared columns and types, in the declared order."""
-    wanted = T.StructType.fromDDL(schema)
-    return df.select([F.col(f.name).cast(f.dataType).alias(f.name) for f in wanted])
+    return df.selectExpr(
+        *[f"cast(`{f.name}` as {f.dataType.simpleString()}) as `{f.name}`" for f in declared(schema)]
+    )

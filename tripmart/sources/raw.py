@@ -5,12 +5,11 @@ from __future__ import annotations
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tripmart.paths import PARTITION, raw_path, under
 from tripmart.sources import schemas
-from tripmart.sources.lake import list_partitions
+from tripmart.sources.lake import declared, list_partitions
 
 _NUMBERS = (
     T.ByteType,
@@ -54,11 +53,10 @@ def union_by_name(frames: list[DataFrame], schema: T.StructType) -> DataFrame:
 
     def aligned(frame: DataFrame) -> DataFrame:
         present = {c.lower(): c for c in frame.columns}
-        return frame.select(
-            [
-                (F.col(f"`{present[key]}`") if key in present else F.lit(None))
-                .cast(field.dataType)
-                .alias(field.name)
+        return frame.selectExpr(
+            *[
+                f"cast({f'`{present[key]}`' if key in present else 'null'} "
+                f"as {field.dataType.simpleString()}) as `{field.name}`"
                 for key, field in targets.items()
             ]
         )
@@ -81,16 +79,16 @@ def read_raw_trips(
         folder = under(base, raw_path(table, month))
         layout = tuple((f.name, f.dataType.simpleString()) for f in spark.read.parquet(folder).schema)
         layouts.setdefault(layout, []).append(folder)
-    declared = T.StructType.fromDDL(f"{schemas.RAW[table]}, {PARTITION} date")
+    united = declared(f"{schemas.RAW[table]}, {PARTITION} date")
     if not layouts:
-        return spark.createDataFrame([], declared)
+        return spark.createDataFrame([], united)
     frames = [
         spark.read.schema(", ".join(f"`{name}` {kind}" for name, kind in layout))
         .option("basePath", root)
         .parquet(*folders)
         for layout, folders in layouts.items()
     ]
-    return union_by_name(frames, declared)
+    return union_by_name(frames, united)
 
 
 def read_raw_weather(spark: SparkSession, base: str) -> DataFrame:

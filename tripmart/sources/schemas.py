@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from pyspark.sql import types as T
-
 # The column names of the published files. Types are the widest a month uses.
 RAW = {
     "yellow_taxi": (
@@ -126,8 +124,3 @@ FINAL = {
         "trip_count bigint, total_revenue double, avg_fare double"
     ),
 }
-
-
-def declared(ddl: str) -> T.StructType:
-    """A DDL string of this module as a `StructType`."""
-    return T.StructType.fromDDL(ddl)
