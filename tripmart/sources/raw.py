@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
+from datetime import datetime
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
@@ -9,8 +11,10 @@ from pyspark.sql import types as T
 
 from tripmart.paths import PARTITION, raw_path, under
 from tripmart.sources import schemas
-from tripmart.sources.lake import declared, list_partitions
+from tripmart.sources.lake import declared, partition_times
 
+FOOTER_THREADS = 16
+_KNOWN_LAYOUTS: dict[tuple[str, datetime], T.StructType] = {}
 _NUMBERS = (
     T.ByteType,
     T.ShortType,
@@ -64,31 +68,59 @@ def union_by_name(frames: list[DataFrame], schema: T.StructType) -> DataFrame:
     return reduce(DataFrame.unionByName, [aligned(f) for f in frames])
 
 
+def month_layouts(spark: SparkSession, written: dict[str, datetime]) -> dict[str, T.StructType]:
+    """Columns and types of each month folder, from one footer each, read a few at a time.
+
+    A layout is remembered until the folder is written again. A month's files come from one
+    publication; should one of them differ in a type after all, the scan fails rather than
+    misreads it.
+    """
+    unknown = [key for key in written.items() if key not in _KNOWN_LAYOUTS]
+    with ThreadPoolExecutor(FOOTER_THREADS) as pool:
+        found = pool.map(lambda key: spark.read.parquet(key[0]).schema, unknown)
+        _KNOWN_LAYOUTS.update(zip(unknown, found))
+    return {folder: _KNOWN_LAYOUTS[folder, time] for folder, time in written.items()}
+
+
+def compatible_groups(
+    layouts: dict[str, T.StructType],
+) -> list[tuple[T.StructType, list[str]]]:
+    """Months whose common columns have the same types can share a scan.
+
+    Added, lost and re-spelled columns do not split a group; a changed type does. There are as many
+    groups as type changes need, however many months there are.
+    """
+    groups: list[tuple[dict[str, T.StructField], list[str]]] = []
+    for folder, layout in layouts.items():
+        fields = {f.name.lower(): f for f in layout}
+        for known, members in groups:
+            if all(known[k].dataType == f.dataType for k, f in fields.items() if k in known):
+                for key, field in fields.items():
+                    known.setdefault(key, field)
+                members.append(folder)
+                break
+        else:
+            groups.append((fields, [folder]))
+    return [(T.StructType(list(known.values())), members) for known, members in groups]
+
+
 def read_raw_trips(
     spark: SparkSession, base: str, table: str, months: list[str] | None = None
 ) -> DataFrame:
-    """All (or the given) months of one service, columns united by name.
-
-    Months with the same columns and types share one scan, so the plan has as many scans as
-    there are file layouts, however many months there are. A month's files come from one
-    publication, so one footer tells the month's layout.
-    """
+    """All (or the given) months of one service, columns united by name."""
     root = under(base, raw_path(table))
-    layouts: dict[tuple, list[str]] = {}
-    for month in months or list_partitions(spark, root):
-        folder = under(base, raw_path(table, month))
-        layout = tuple((f.name, f.dataType.simpleString()) for f in spark.read.parquet(folder).schema)
-        layouts.setdefault(layout, []).append(folder)
     united = declared(f"{schemas.RAW[table]}, {PARTITION} date")
-    if not layouts:
+    times = {
+        under(base, raw_path(table, row[PARTITION].isoformat())): row["modified"]
+        for row in partition_times(spark, root).orderBy(PARTITION).collect()
+        if not months or row[PARTITION].isoformat() in months
+    }
+    if not times:
         return spark.createDataFrame([], united)
-    frames = [
-        spark.read.schema(", ".join(f"`{name}` {kind}" for name, kind in layout))
-        .option("basePath", root)
-        .parquet(*folders)
-        for layout, folders in layouts.items()
-    ]
-    return union_by_name(frames, united)
+    groups = compatible_groups(month_layouts(spark, times))
+    reader = spark.read.option("basePath", root)
+    scans = [reader.schema(layout).parquet(*members) for layout, members in groups]
+    return union_by_name(scans, united)
 
 
 def read_raw_weather(spark: SparkSession, base: str) -> DataFrame:
