@@ -15,7 +15,7 @@ from tripmart.plans import registry
 from tripmart.plans.marts import stack
 from tripmart.plans.staging import SERVICES
 from tripmart.sources import polygons, raw, weather
-from tripmart.sources.lake import read_lake, read_months
+from tripmart.sources.lake import read_lake
 from tripmart.sources.schemas import FINAL, HOURLY_VARIABLES, STAGING
 from tripmart.workspace import new_workspace
 
@@ -99,7 +99,7 @@ def single_file(spark, sf_dir):
 @query("s06_month_scan", "SELECT * FROM stg_hv WHERE partition_date = DATE '2025-03-01'")
 def month_scan(spark, sf_dir):
     lake = stored.staged_lake(spark, sf_dir)
-    return read_months(lake.read("stg_high_volume_fhv"), ["2025-03-01"])
+    return lake.read("stg_high_volume_fhv", ["2025-03-01"])
 
 
 @query(

@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tripmart.paths import PARTITION
-from tripmart.sources.lake import read_lake, read_months
+from tripmart.sources.lake import in_months, read_lake
 
 _DAY = re.compile(r"\d{4}-\d{2}-\d{2}")
 
@@ -54,7 +54,7 @@ def write_lake(
         df.coalesce(1).write.mode("overwrite").parquet(location)
         return
     chosen = parse_months(months)
-    df = read_months(df, chosen)
+    df = in_months(df, chosen)
     if regroup:
         df = df.hint("rebalance", F.col(partition_by))
     (

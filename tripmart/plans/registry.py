@@ -12,7 +12,7 @@ from tripmart.operators.sinks import write_lake
 from tripmart.paths import FINAL, PARTITION, RAW, STAGING, final_path, raw_path, staging_path, under
 from tripmart.plans import marts, staging
 from tripmart.sources import raw, schemas
-from tripmart.sources.lake import read_lake, read_months
+from tripmart.sources.lake import read_lake
 
 Inputs = Mapping[str, DataFrame]
 
@@ -207,8 +207,8 @@ class Lake:
     def source_location(self, path: str) -> str:
         return under(self.source_base, path)
 
-    def read(self, name: str) -> DataFrame:
-        return read_lake(self.spark, self.location(name), MODELS[name].schema)
+    def read(self, name: str, months: list[str] | None = None) -> DataFrame:
+        return read_lake(self.spark, self.location(name), MODELS[name].schema, months)
 
     def read_raw(self, table: str, months: list[str] | None = None) -> DataFrame:
         reader = RAW_READERS[table]
@@ -229,19 +229,17 @@ class Lake:
             if self._lookup is None:
                 self._lookup = broadcast_if_small(self.read(name))
             return self._lookup
-        df = self.read(name)
-        # Weather is kept whole: days of other months cost little, and late days may be stored
-        # under their own folders
-        narrowed = months and MODELS[name].partition_by and name != "stg_weather"
-        return read_months(df, months) if narrowed else df
+        # Weather is stored by day, and a day's row per hour is little: it is read whole
+        by_month = MODELS[name].partition_by and name != "stg_weather"
+        return self.read(name, months if by_month else None)
 
     def plan(self, name: str, months: list[str] | None = None) -> DataFrame:
         """The model's rows as a lazy DataFrame, from stored tables and raw files."""
         model = MODELS[name]
         return model.build({d: self._input(d, months) for d in model.depends_on})
 
-    def build(self, name: str, months: list[str] | None = None) -> DataFrame:
-        """Write a model (or some months of it) and return it as stored."""
+    def build(self, name: str, months: list[str] | None = None) -> None:
+        """Write a model, or some months of it."""
         model = MODELS[name]
         chosen = months if model.partition_by else None
         if name == "stg_taxi_zone_lookup":
@@ -249,7 +247,6 @@ class Lake:
         write_lake(
             self.plan(name, chosen), self.location(name), model.partition_by, chosen, model.regroup
         )
-        return self.read(name)
 
     def register_upstream(self, selected: list[str]) -> list[str]:
         """A view for each stored model a partial build depends on."""

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
@@ -43,10 +44,8 @@ def stale_months(
 def plan_months(
     spark: SparkSession, sources: list[str], targets: list[str], full_refresh: bool = False
 ) -> list[str]:
-    """The stale months of stored tables, from listings only."""
-    stale = stale_months(
-        [partition_times(spark, s) for s in sources],
-        [partition_times(spark, t) for t in targets],
-        full_refresh,
-    )
+    """The stale months of stored tables, from listings only, which run side by side."""
+    with ThreadPoolExecutor(len(sources) + len(targets)) as pool:
+        times = list(pool.map(lambda table: partition_times(spark, table), [*sources, *targets]))
+    stale = stale_months(times[: len(sources)], times[len(sources) :], full_refresh)
     return [row[0].isoformat() for row in stale.collect()]

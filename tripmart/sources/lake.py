@@ -15,23 +15,45 @@ from tripmart.paths import PARTITION
 MANIFEST = f"{PARTITION} date, path string, modified timestamp"
 
 
-def read_lake(spark: SparkSession, location: str, schema: str | None = None) -> DataFrame:
+def month_folders(location: str, months: list[str]) -> str:
+    """A path pattern for the folders of some months; one that is not there is passed over."""
+    return f"{location.rstrip('/')}/{PARTITION}={{{','.join(months)}}}"
+
+
+def _not_found(error: AnalysisException) -> bool:
+    return error.getCondition() == "PATH_NOT_FOUND"
+
+
+def read_lake(
+    spark: SparkSession, location: str, schema: str | None = None, months: list[str] | None = None
+) -> DataFrame:
     """A stored table: a folder of months, or one unpartitioned folder or file.
 
-    With a declared schema no file is opened before the query runs.
+    With a declared schema no file is opened before the query runs. With months only their folders
+    are listed, so a build of one month does not pay for the length of the history.
     """
     reader = spark.read.schema(schema) if schema else spark.read
-    return reader.parquet(location)
+    if not months:
+        return reader.parquet(location)
+    try:
+        found = reader.option("basePath", location).parquet(month_folders(location, months))
+    except AnalysisException as error:
+        if not (_not_found(error) and schema):
+            raise
+        return spark.createDataFrame([], declared(schema))
+    return in_months(found, months)
 
 
-def read_months(df: DataFrame, months: list[str] | None) -> DataFrame:
+def in_months(df: DataFrame, months: list[str] | None) -> DataFrame:
     """Only the given months; the filter reaches the scan as a partition filter."""
     if not months:
         return df
     return df.where(F.col(PARTITION).isin([date.fromisoformat(m) for m in months]))
 
 
-def list_files(spark: SparkSession, location: str) -> DataFrame:
+def list_files(
+    spark: SparkSession, location: str, months: list[str] | None = None
+) -> DataFrame:
     """Month, path and write time of each data file, from the file listing alone.
 
     `binaryFile` lists without opening anything, since `content` is never selected. It would
@@ -43,9 +65,13 @@ def list_files(spark: SparkSession, location: str) -> DataFrame:
     lister.conf.set("spark.sql.files.openCostInBytes", "1")
     empty = spark.createDataFrame([], MANIFEST)
     try:
-        files = lister.read.format("binaryFile").load(location)
+        files = (
+            lister.read.format("binaryFile")
+            .option("basePath", location)
+            .load(month_folders(location, months) if months else location)
+        )
     except AnalysisException as error:
-        if error.getCondition() == "PATH_NOT_FOUND":
+        if _not_found(error):
             return empty
         raise
     if PARTITION not in files.columns:
@@ -58,9 +84,11 @@ def list_files(spark: SparkSession, location: str) -> DataFrame:
     )
 
 
-def partition_times(spark: SparkSession, location: str) -> DataFrame:
+def partition_times(
+    spark: SparkSession, location: str, months: list[str] | None = None
+) -> DataFrame:
     """Month -> when its newest file was written. One row per month."""
-    return list_files(spark, location).groupBy(PARTITION).agg(F.max("modified").alias("modified"))
+    return list_files(spark, location, months).groupBy(PARTITION).agg(F.max("modified").alias("modified"))
 
 
 def list_partitions(spark: SparkSession, location: str) -> list[str]:
@@ -73,7 +101,7 @@ def path_exists(spark: SparkSession, location: str) -> bool:
     try:
         spark.read.format("binaryFile").load(location)
     except AnalysisException as error:
-        if error.getCondition() == "PATH_NOT_FOUND":
+        if _not_found(error):
             return False
         raise
     return True

@@ -112,8 +112,7 @@ def read_raw_trips(
     united = declared(f"{schemas.RAW[table]}, {PARTITION} date")
     times = {
         under(base, raw_path(table, row[PARTITION].isoformat())): row["modified"]
-        for row in partition_times(spark, root).orderBy(PARTITION).collect()
-        if not months or row[PARTITION].isoformat() in months
+        for row in partition_times(spark, root, months).orderBy(PARTITION).collect()
     }
     if not times:
         return spark.createDataFrame([], united)
