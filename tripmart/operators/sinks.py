@@ -75,7 +75,3 @@ def publish_view(spark, location: str, name: str, schema: str | None = None) ->
 def replace_file(df: DataFrame, location: str) -> None:
     """An unpartitioned table: one file, always replaced."""
     write_lake(df, location, partition_by=None)
-
-
-def month_counts(df: DataFrame) -> DataFrame:
-    return df.groupBy(PARTITION).agg(F.count(F.lit(1)).alias("row_count"))

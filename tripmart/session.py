@@ -13,6 +13,7 @@ SETTINGS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.advisoryPartitionSizeInBytes": "128m",
     "spark.sql.parquet.outputTimestampType": "TIMESTAMP_MICROS",
+    "spark.sql.parquet.compression.codec": "zstd",
     # A staging task reads one or two months, so it can keep a writer open for each
     # instead of sorting its rows by month first.
     "spark.sql.maxConcurrentOutputFileWriters": "16",
