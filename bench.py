@@ -33,6 +33,7 @@ def main() -> None:
         spark__driver__memory="16g",
         spark__driver__host="127.0.0.1",
         spark__ui__enabled="false",
+        spark__python__sql__dataFrameDebugging__enabled="false",
         spark__ui__showConsoleProgress="false",
         spark__sql__shuffle__partitions=cpus,
     )

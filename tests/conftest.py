@@ -15,6 +15,8 @@ def make_session():
         "tripmart-tests",
         spark__master="local[8]",
         spark__ui__enabled="false",
+        # Finding the caller of each column expression is slow below pytest's deep stack
+        spark__python__sql__dataFrameDebugging__enabled="false",
         spark__driver__memory="8g",
         spark__driver__host="127.0.0.1",
         spark__sql__shuffle__partitions="8",
