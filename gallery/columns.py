@@ -10,7 +10,8 @@ from gallery.registry import query
 from gallery.sql import instant, later, minutes, near, rain_band
 from tripmart.functions import casts, clock, codes, labels
 from tripmart.functions.rounding import round_half_away
-from tripmart.plans import dashboard, marts, staging
+from tripmart.operators.quality import within_month
+from tripmart.plans import dashboard, marts
 
 # --- casts ----------------------------------------------------------------------------------
 
@@ -257,8 +258,6 @@ def hour_and_day(spark, sf_dir):
         FROM line_trips""",
 )
 def next_month(spark, sf_dir):
-    from tripmart.operators.quality import within_month
-
     trips = fixture.line_trips(spark, sf_dir).withColumn("pickup_datetime", F.col("pickup"))
     return trips.select(
         *KEYS,

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from datetime import datetime
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from gallery import fixture
@@ -12,7 +13,7 @@ from gallery.registry import query
 from gallery.sql import later
 from tripmart.operators import checks, quality
 from tripmart.operators.dimensions import broadcast_if_small, with_zones
-from tripmart.plans import dashboard, marts, staging
+from tripmart.plans import dashboard, marts
 
 TIMES = ("tpep_pickup_datetime", "tpep_dropoff_datetime")
 
@@ -434,8 +435,6 @@ def share(spark, sf_dir):
         .agg(F.sum("trips").alias("trips"))
         .withColumn("bar", F.col("pickup_borough"))
     )
-    from pyspark.sql import Window
-
     bar = F.sum("trips").over(Window.partitionBy("bar"))
     shared = grouped.withColumn("share", dashboard.ratio(F.col("trips"), bar))
     return rounded(shared.drop("bar"), "share")
@@ -462,8 +461,6 @@ def top10(spark, sf_dir):
 )
 def axis_order(spark, sf_dir):
     """The place each label gets on an axis sorted by text. The window sees the 24 labels."""
-    from pyspark.sql import Window
-
     tables = {"trips_hourly": fixture.trips_hourly(spark, sf_dir)}
     values = dashboard.filter_values("trips_hourly", "hour_label", tables)
     place = F.row_number().over(Window.orderBy("hour_label"))
@@ -478,8 +475,6 @@ def axis_order(spark, sf_dir):
 )
 def label_order(spark, sf_dir):
     """Weekdays sorted as text stand in calendar order. The window sees the seven labels."""
-    from pyspark.sql import Window
-
     trips = dashboard.dataset("trips", {"trips": fixture.trips(spark, sf_dir)})
     counted = trips.groupBy("weekday_label").agg(F.count(F.lit(1)).alias("trips"))
     place = F.row_number().over(Window.orderBy(F.desc("weekday_label")))

@@ -2,10 +2,8 @@
 
 from __future__ import annotations
 
-from pyspark.sql import functions as F
-
 from gallery import fixture
-from gallery.common import rounded, to_six
+from gallery.common import rounded
 from gallery.registry import query
 from tripmart.plans import dashboard
 

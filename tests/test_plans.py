@@ -65,7 +65,7 @@ def test_upstream_looks_through_unstored_models():
 
 def test_layers():
     tables = registry.layer_tables()
-    assert [len(tables[layer]) for layer in (RAW, STAGING, FINAL)] == [5, 7, 6]
+    assert [len(tables[layer]) for layer in (RAW, STAGING, FINAL)] == [5, 6, 6]
     assert tables[STAGING]["taxi_zones_geo"] == "staging/reference/taxi_zones_geo"
 
 
@@ -287,7 +287,7 @@ def test_history_load(spark, tmp_path):
             for layer, tables in registry.layer_tables().items()
             for table in tables
         }
-        assert len(counts) == 18 and all(counts.values())
+        assert len(counts) == 17 and all(counts.values())
         assert counts[RAW, "weather"] == 59 * 24
     finally:
         for name in names.values():

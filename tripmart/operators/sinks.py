@@ -44,14 +44,15 @@ def write_lake(
     - Months: only these are computed, and each replaces its own folder. One job does them all.
       A month that now has no rows keeps its old folder.
     - Unpartitioned tables are always written whole, as one file: they hold a row per day or
-      per zone.
+      per zone. These few rows are moved to one task after the aggregation that makes them, which
+      itself stays spread out (`coalesce` would pull it into that task).
 
     Trips are written where they were read: tasks already hold one month's rows, so there is no
     shuffle. `regroup` is for tables that come out of an aggregation with months spread over all
     tasks; adaptive execution then sizes the output, splitting a month that is too big for one.
     """
     if partition_by is None:
-        df.coalesce(1).write.mode("overwrite").parquet(location)
+        df.repartition(1).write.mode("overwrite").parquet(location)
         return
     chosen = parse_months(months)
     df = in_months(df, chosen)

@@ -134,11 +134,8 @@ def build_zones(
     written = published is not None and not path_exists(lake.spark, location)
     if written:
         replace_file(zone_geometry(published), location)
-    if database:
-        tables = {"taxi_zone_lookup": lake.location("stg_taxi_zone_lookup")}
-        if path_exists(lake.spark, location):
-            tables["taxi_zones_geo"] = location
-        recreate_tables(lake.spark, database, tables)
+    if database and path_exists(lake.spark, location):
+        recreate_tables(lake.spark, database, {"taxi_zones_geo": location})
     return written
 
 

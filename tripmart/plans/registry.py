@@ -162,14 +162,13 @@ RAW_READERS = {
 def layer_tables() -> dict[str, dict[str, str]]:
     """Layer -> table -> folder under the base path: what each catalog database lists.
 
-    The raw zone lookup is a lone CSV file that nothing but staging reads, so the raw layer
-    registers the trip tables and weather.
+    The zone lookup, raw or staged, serves the builds only and is not listed.
     """
     tables: dict[str, dict[str, str]] = {RAW: {}, STAGING: {}, FINAL: {}}
     for name in (*_ALL, "weather"):
         tables[RAW][name] = raw_path(name)
     for model in MODELS.values():
-        if model.stored:
+        if model.stored and model.table != "taxi_zone_lookup":
             tables[model.layer][model.table] = model.path
     tables[STAGING]["taxi_zones_geo"] = staging_path("reference/taxi_zones_geo")
     return tables
