@@ -49,16 +49,18 @@ def main() -> None:
     month = "2025-03-01"
     lake = Lake(spark, stored.landed(spark, sf_dir, faultless=True), new_workspace(spark, "bench"))
     timed("zones_and_weather_staging", lambda: (flows.build_zones(lake), flows.build_weather(lake)))
-    timed("raw_tests", lambda: [flows.check_raw(lake, s) for s in SERVICES])
-    timed("staging_rebuild", lambda: [lake.build(m) for m in STAGED_SERVICES])
-    timed("staging_tests", lambda: [flows.check_model(lake, m) for m in STAGED_SERVICES])
+    timed("raw_tests", lambda: lake.side_by_side(lambda s: flows.check_raw(lake, s), SERVICES))
+    timed("staging_rebuild", lambda: lake.side_by_side(lake.build, STAGED_SERVICES))
+    timed(
+        "staging_tests",
+        lambda: lake.side_by_side(lambda m: flows.check_model(lake, m), STAGED_SERVICES),
+    )
     timed("high_volume_whole", lambda: lake.build("stg_high_volume_fhv"))
     timed("high_volume_one_month", lambda: lake.build("stg_high_volume_fhv", [month]))
     timed("final_rebuild_with_tests", lambda: flows.build_final(lake, full_refresh=True))
 
     def new_month():
-        for name in STAGED_SERVICES:
-            lake.build(name, [month])
+        lake.side_by_side(lambda name: lake.build(name, [month]), STAGED_SERVICES)
         return flows.build_final(lake)
 
     timed("new_month_staging_and_final", new_month)

@@ -269,10 +269,9 @@ def stage_flow(spark, sf_dir):
     """Each service planned, tested, built and tested again; a second run finds nothing to do."""
     lake = stored.sandbox(spark, sf_dir)
     lake.build("stg_taxi_zone_lookup")
-    for service in SERVICES:
-        flows.build_staging(lake, service)
-    again = [m for service in SERVICES for m in flows.build_staging(lake, service)]
-    if again:
+    lake.side_by_side(lambda s: flows.build_staging(lake, s), SERVICES)
+    again = lake.side_by_side(lambda s: flows.build_staging(lake, s), SERVICES)
+    if any(again.values()):
         raise AssertionError(f"built again: {again}")
     return _months(lake, *STAGED_SERVICES)
 
@@ -280,8 +279,7 @@ def stage_flow(spark, sf_dir):
 def _final_lake(spark, sf_dir) -> Lake:
     """Faultless staging in a sandbox, and the final tables built from it."""
     lake = stored.sandbox(spark, sf_dir)
-    for name in ("stg_taxi_zone_lookup", "stg_weather", *STAGED_SERVICES):
-        lake.build(name)
+    stored.build_all_staging(lake)
     flows.build_final(lake)
     return lake
 

@@ -6,13 +6,15 @@ lake redirect their models to a sandbox of their own.
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
+
 from pyspark.sql import DataFrame, SparkSession
 
 from gallery import fixture
 from tripmart.operators.sinks import replace_file, write_lake
 from tripmart.paths import PARTITION, raw_path, under
 from tripmart.plans.flows import POLYGONS
-from tripmart.plans.registry import MODELS, MONTHLY_MARTS, SMALL_MARTS, STAGED_SERVICES, Lake
+from tripmart.plans.registry import STAGED_SERVICES, SUMMARY_MARTS, TRIP_MARTS, Lake
 from tripmart.plans.staging import SERVICES
 from tripmart.sources.polygons import zone_geometry
 from tripmart.workspace import new_workspace
@@ -43,9 +45,12 @@ def landed(spark: SparkSession, sf_dir: str, faultless: bool = False) -> str:
     """Raw files of all services, weather and zones, and the staged polygons."""
 
     def write(base: str) -> None:
-        for service in SERVICES:
+        def land(service: str) -> None:
             rows = fixture.raw_trips(spark, sf_dir, service, faultless)
             write_lake(rows, under(base, raw_path(service)), regroup=True)
+
+        with ThreadPoolExecutor(len(SERVICES)) as pool:
+            list(pool.map(land, SERVICES))
         land_weather(fixture.raw_weather(spark, sf_dir, faultless), base)
         land_zones(fixture.raw_zone_lookup(spark, sf_dir), base)
         published = fixture.published_zones(spark, sf_dir, faultless)
@@ -59,14 +64,19 @@ def sandbox(spark: SparkSession, sf_dir: str, faultless: bool = True) -> Lake:
     return Lake(spark, landed(spark, sf_dir, faultless), new_workspace(spark))
 
 
+def build_all_staging(lake: Lake) -> None:
+    """Without the gates."""
+    lake.build("stg_taxi_zone_lookup")
+    lake.side_by_side(lake.build, ["stg_weather", *STAGED_SERVICES])
+
+
 def staged_lake(spark: SparkSession, sf_dir: str, faultless: bool = False) -> Lake:
     """All staging tables stored. To be read only."""
     source = landed(spark, sf_dir, faultless)
 
     def write(base: str) -> None:
         lake = Lake(spark, source, base)
-        for name in ("stg_taxi_zone_lookup", "stg_weather", *STAGED_SERVICES):
-            lake.build(name)
+        build_all_staging(lake)
 
     return Lake(spark, source, _once(spark, sf_dir, f"staged-{faultless}", write))
 
@@ -76,12 +86,8 @@ def built_lake(spark: SparkSession, sf_dir: str) -> Lake:
     lake = staged_lake(spark, sf_dir)
 
     def write(_: str) -> None:
-        for name in (*MONTHLY_MARTS, *SMALL_MARTS):
-            lake.build(name)
+        for wave in (TRIP_MARTS, SUMMARY_MARTS):
+            lake.side_by_side(lake.build, wave)
 
     _once(spark, sf_dir, "built", write)
     return lake
-
-
-def stored_models() -> list[str]:
-    return [m.name for m in MODELS.values() if m.stored]

@@ -17,6 +17,8 @@ from tripmart.plans.registry import (
     MONTHLY_MARTS,
     SMALL_MARTS,
     STAGED_SERVICES,
+    SUMMARY_MARTS,
+    TRIP_MARTS,
     Lake,
     layer_tables,
 )
@@ -104,9 +106,13 @@ def build_final(
     )
     if not months:
         return []
-    for name in (*MONTHLY_MARTS, *SMALL_MARTS):
+
+    def build_and_check(name: str) -> None:
         lake.build(name, months)
         check_model(lake, name, months if test_built_only else None)
+
+    for wave in (TRIP_MARTS, SUMMARY_MARTS):
+        lake.side_by_side(build_and_check, wave)
     reconcile(lake)
     if database:
         recreate_tables(
@@ -197,7 +203,9 @@ def load_history(
             raise FileNotFoundError(f"{service}: no files for {', '.join(sorted(absent))}")
     build_zones(lake, published_zones, names.get(STAGING))
     build_weather(lake, names.get(STAGING))
-    built = {s: build_staging(lake, s, database=names.get(STAGING)) for s in SERVICES}
+    built = lake.side_by_side(
+        lambda s: build_staging(lake, s, database=names.get(STAGING)), SERVICES
+    )
     built["final"] = build_final(lake, database=names.get(FINAL))
     if RAW in names:
         register_raw(lake, names[RAW])

@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Mapping
+from collections.abc import Callable, Iterable, Mapping
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
@@ -149,6 +150,9 @@ _MODELS = [
 MODELS: dict[str, Model] = {m.name: m for m in _MODELS}
 
 STAGED_SERVICES = tuple(f"stg_{s}" for s in _ALL)
+# The final tables in two waves: the second is made of the first
+TRIP_MARTS = ("trips", "revenue", "weather_impact")
+SUMMARY_MARTS = ("trips_hourly", "weather_daily", "zones_geo")
 MONTHLY_MARTS = tuple(m.name for m in _MODELS if m.layer == FINAL and m.partition_by)
 SMALL_MARTS = tuple(m.name for m in _MODELS if m.layer == FINAL and not m.partition_by)
 
@@ -215,6 +219,12 @@ class Lake:
             return raw.read_raw_trips(self.spark, self.source_base, table, months)
         return reader(self.spark, self.source_base)
 
+    def zone_lookup(self) -> DataFrame:
+        """The staged lookup, measured once for all services of a build."""
+        if self._lookup is None:
+            self._lookup = broadcast_if_small(self.read("stg_taxi_zone_lookup"))
+        return self._lookup
+
     def _input(self, name: str, months: list[str] | None) -> DataFrame:
         kind, _, table = name.partition(".")
         if kind == "raw":
@@ -224,10 +234,7 @@ class Lake:
         if not MODELS[name].stored:
             return self.plan(name, months)
         if name == "stg_taxi_zone_lookup":
-            # Measured once for all services of a build
-            if self._lookup is None:
-                self._lookup = broadcast_if_small(self.read(name))
-            return self._lookup
+            return self.zone_lookup()
         # Weather is stored by day, and a day's row per hour is little: it is read whole
         by_month = MODELS[name].partition_by and name != "stg_weather"
         return self.read(name, months if by_month else None)
@@ -247,6 +254,13 @@ class Lake:
             self.plan(name, chosen), self.location(name), model.partition_by, chosen, model.regroup
         )
 
+    def side_by_side(self, work: Callable[[str], object], names: Iterable[str]) -> dict[str, object]:
+        """Run independent builds at once, so that one's last tasks leave no executor idle."""
+        self.zone_lookup()
+        names = list(names)
+        with ThreadPoolExecutor(len(names)) as pool:
+            return dict(zip(names, pool.map(work, names)))
+
     def register_upstream(self, selected: list[str]) -> list[str]:
         """A view for each stored model a partial build depends on."""
         names = upstream_models(selected)
