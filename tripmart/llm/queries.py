@@ -36,11 +36,11 @@ def op2(spark, sf_dir):
     r"""
     WITH RECURSIVE words AS (
         SELECT doc_id, list_filter(string_split_regex(translate(coalesce(text, ''),
-            'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+'), x -> x <> '') AS w
+            'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w
         FROM documents),
     shingles AS (
         SELECT doc_id, unnest(CASE WHEN len(w) = 0 THEN []::VARCHAR[] WHEN len(w) = 1 THEN [w[1]]
-            ELSE list_distinct(list_transform(range(1, len(w)), i -> w[i] || ' ' || w[i + 1])) END) AS s
+            ELSE list_distinct(list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1])) END) AS s
         FROM words),
     sizes AS (SELECT doc_id, count(*) AS n FROM shingles GROUP BY doc_id),
     links AS (
@@ -83,7 +83,7 @@ def op4(spark, sf_dir):
     cuts AS (SELECT source, list(c) AS cs FROM steps GROUP BY source),
     drawn AS (
         SELECT d.*, CASE WHEN cs IS NULL THEN 1
-            ELSE len(list_filter(cs, c -> c <= ('0x' || left(md5('count-7-' || doc_id), 13))::BIGINT / pow(2, 52))) END AS times
+            ELSE len(list_filter(cs, lambda c: c <= ('0x' || left(md5('count-7-' || doc_id), 13))::BIGINT / pow(2, 52))) END AS times
         FROM documents d LEFT JOIN cuts ON d.source IS NOT DISTINCT FROM cuts.source)
     SELECT doc_id, source, unnest(range(times))::INTEGER AS replica FROM drawn
     """,

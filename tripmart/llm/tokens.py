@@ -1,93 +1,125 @@
 """Token ids of whole texts in Arrow batches, exactly as the tokenizers library gives them.
 
-A text is cut into the tokenizer's own pre-tokens by one regular expression, and the ids of each
-distinct pre-token come from the library and are kept in the worker. That is several times faster
-than encoding whole texts and gives the same ids, as BPE never merges across pre-tokens. It is used
-for texts whose characters all lie below U+0250, where normalisation and case are simple; other
-texts, and texts that may hold a special token, are encoded whole by the library.
+A text is cut at spaces where the tokenizer's own pre-tokens end, and the ids of each distinct piece
+come from the library and are kept in the worker, up to REMEMBERED pieces. That is several times
+faster than encoding whole texts and gives the same ids, as BPE never merges across pre-tokens. It is
+used for texts whose characters all lie below U+0250, where normalisation and case are simple; other
+texts, texts with unusual runs of white space and texts that may hold a special token are encoded
+whole by the library.
 """
 
 from __future__ import annotations
 
 import json
 import re
-import sys
-import unicodedata
 
 from tripmart.llm.common import worker_state
 
-_LIMIT = 0x250
-#: Pre-tokens kept in a worker; when full the memory starts anew.
-REMEMBERED = 400_000
-# The contractions that both kinds of tokenizer split off
-_CONTRACTIONS = "'s|'t|'re|'ve|'m|'ll|'d"
-
-
-def _class(wanted) -> str:
-    return "".join(re.escape(c) for c in map(chr, range(_LIMIT)) if wanted(c))
-
-
-def _patterns():
-    letters = _class(lambda c: unicodedata.category(c)[0] == "L")
-    numbers = _class(lambda c: unicodedata.category(c)[0] == "N")
-    spaces = _class(lambda c: c in "\t\n\x0b\x0c\r \x85\xa0")
-    word = f"{_CONTRACTIONS}|[{letters}]+|[{numbers}]|[^{spaces}{letters}{numbers}]+"
-    byte = f"{_CONTRACTIONS}| ?[{letters}]+| ?[{numbers}]+| ?[^{spaces}{letters}{numbers}]+|[{spaces}]+(?![^{spaces}])|[{spaces}]+"
-    return re.compile(word).findall, re.compile(byte).findall
-
-
-class _Remembered(dict):
-    def __init__(self, encode):
-        self.encode = encode
-
-    def __missing__(self, piece: str) -> bytes:
-        if len(self) >= REMEMBERED:
-            self.clear()
-        self[piece] = ids = self.encode(piece)
-        return ids
+#: Pieces kept in a worker; when full the memory starts anew.
+REMEMBERED = 600_000
+#: Characters of texts that are cut before their new pieces are encoded.
+AT_ONCE = 1_000_000
+_RARE_SPACES = "\t\x0b\x0c\r\x85\xa0"
+# The pre-token pattern of the lower-casing kind of tokenizer
+_WORD_PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
 
 
 class Encoder:
-    """`encode(text)` gives little-endian unsigned 32-bit ids of a tokenizer file, without specials."""
+    """Little-endian unsigned 32-bit ids by a tokenizer file, without added special tokens."""
 
     def __init__(self, path: str):
-        import numpy as np
         from tokenizers import Tokenizer
 
-        tokenizer = Tokenizer.from_file(path)
+        self.tokenizer = Tokenizer.from_file(path)
         with open(path, encoding="utf-8") as f:
             parts = json.load(f)
-
-        def whole(text: str) -> bytes:
-            return np.array(tokenizer.encode(text, add_special_tokens=False).ids, dtype="<u4").tobytes()
-
-        self.whole = whole
-        self.kept = _Remembered(whole)
-        word, byte = _patterns()
-        self.find, self.lower = None, False
-        specials = [t["content"] for t in parts.get("added_tokens") or []]
-        self.odd = re.compile("|".join([f"[^\x00-{chr(_LIMIT - 1)}]|İ", *map(re.escape, specials)])).search
+        self.specials = [t["content"] for t in parts.get("added_tokens") or []]
+        self.beyond = re.compile("[^\x00-ɏ]").search
+        self.first: dict[str, bytes] = {}
+        self.later: dict[str, bytes] = {}
         before, model = parts.get("pre_tokenizer") or {}, parts.get("model") or {}
+        kinds = [x["type"] for x in before.get("pretokenizers", [before])]
+        normal = [x["type"] for x in (parts.get("normalizer") or {}).get("normalizers", [])]
+        self.kind = "whole"
         if model.get("type") == "BPE" and not parts.get("post_processor"):
-            kinds = [x["type"] for x in before.get("pretokenizers", [before])]
-            normal = [x["type"] for x in (parts.get("normalizer") or {}).get("normalizers", [])]
             if kinds == ["ByteLevel"] and before.get("use_regex") and not before.get("add_prefix_space") and not parts.get("normalizer"):
-                self.find = byte
+                self.kind = "byte"
             elif kinds == ["Split", "ByteLevel"] and normal == ["NFC", "Replace", "Lowercase"]:
-                pattern = before["pretokenizers"][0]["pattern"].get("Regex")
-                if pattern == _CONTRACTIONS + r"|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+":
-                    self.find, self.lower = word, True
+                if before["pretokenizers"][0]["pattern"].get("Regex") == _WORD_PATTERN:
+                    self.kind = "word"
+
+    def whole(self, texts: list[str]) -> list[bytes]:
+        import numpy as np
 
-    def encode(self, text: str) -> bytes:
-        if self.find is None or self.odd(text):
-            return self.whole(text)
-        pieces = self.find(text.lower() if self.lower else text)
-        kept = self.kept
-        return b"".join([kept[p] for p in pieces])
+        found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
+        return [np.array(x.ids, dtype="<u4").tobytes() for x in found]
+
+    def _learn(self, kept: dict[str, bytes], pieces: list[str], before: str) -> None:
+        """Adds the ids of new pieces. They are encoded as one text, cut again at a lone token."""
+        import numpy as np
+
+        mark = "~" if self.kind == "word" else "\n"
+        plain = [p for p in pieces if p and mark not in p and not p.isspace()]
+        ids = np.frombuffer(self.whole([f" {mark} ".join(plain) if mark == "~" else mark.join(before + p for p in plain)])[0], "<u4")
+        ends = np.flatnonzero(ids == np.frombuffer(self.whole([mark])[0], "<u4")[0])
+        if plain and len(ends) == len(plain) - 1:
+            starts = [0, *(ends + 1).tolist()]
+            raw = ids.tobytes()
+            kept.update((p, raw[4 * a : 4 * b]) for p, a, b in zip(plain, starts, [*ends.tolist(), len(ids)]))
+            pieces = [p for p in pieces if p not in kept]
+        kept.update(zip(pieces, self.whole([p if p[:1] == "\n" else before + p for p in pieces])))
+
+    def _cut(self, text: str):
+        """(first piece, later pieces), or None if the text must be encoded whole."""
+        if self.kind == "whole" or any(t in text for t in self.specials):
+            return None
+        if not text.isascii() and (self.beyond(text) or "İ" in text):
+            return None
+        if self.kind == "word":
+            return None if any(c in text for c in "\x1c\x1d\x1e\x1f") else ("", text.lower().split())
+        if any(pair in text for pair in ("  ", " \n", "\n ", "\n\n")):
+            return None
+        for space in _RARE_SPACES:
+            if space in text and any(x in text for c in " \n" for x in (c + space, space + c)):
+                return None
+        first, *later = text.replace("\n", " \n").split(" ")
+        return first, later
+
+    def encode(self, texts: list[str]) -> list[bytes]:
+        """Ids of each text."""
+        out: list[bytes] = []
+        start = 0
+        while start < len(texts):
+            end, size = start, 0
+            while end < len(texts) and size < AT_ONCE:
+                size += len(texts[end])
+                end += 1
+            out += self._encode(texts[start:end])
+            start = end
+        return out
+
+    def _encode(self, texts: list[str]) -> list[bytes]:
+        if len(self.first) + len(self.later) > REMEMBERED:
+            self.first.clear()
+            self.later.clear()
+        cuts = [self._cut(t) for t in texts]
+        self._learn(self.first, list({c[0] for c in cuts if c} - self.first.keys()), "")
+        get = self.later.get
+        found = [list(map(get, c[1])) if c else None for c in cuts]
+        lacking = [i for i, ids in enumerate(found) if ids is not None and None in ids]
+        new = {p for i in lacking for p, ids in zip(cuts[i][1], found[i]) if ids is None}
+        self._learn(self.later, list(new), "" if self.kind == "word" else " ")
+        for i in lacking:
+            found[i] = map(get, cuts[i][1])
+        wholes = iter(self.whole([t for t, c in zip(texts, cuts) if not c]))
+        return [self.first[c[0]] + b"".join(ids) if c else next(wholes) for c, ids in zip(cuts, found)]
 
 
 def encoder(path: str) -> Encoder:
     """One encoder per worker and file."""
+    import os
+
+    os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task has one core
     held = worker_state().setdefault("encoders", {})
     if path not in held:
         held[path] = Encoder(path)
@@ -96,7 +128,6 @@ def encoder(path: str) -> Encoder:
 
 def tokenizer_path(name: str) -> str:
     """Where the public tokenizer file `name` is installed; the same on every machine."""
-    sys.path.append("/opt") if "/opt" not in sys.path else None
     import public_tokenizers
 
     return public_tokenizers.path(name)
