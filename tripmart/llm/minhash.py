@@ -5,11 +5,14 @@
    similarity as probability, so PERMUTATIONS hash evaluations give twice as many signature values.
 2. Equal sets are one node. Bands of ROWS signature values name buckets. Two sets of similarity 0.8
    share no bucket with probability (1 - 0.8 ** ROWS) ** BANDS, about 6e-5 for 6 x 32.
-3. Buckets are resolved by leaders. In a round a bucket has one leader, in the next two, then four
-   and so on (the least hash of each of so many parts); every member of another component is compared
-   with the leaders on the whole sets, and leaders then leave the bucket. A bucket whose members are
-   all in one component is done. So every pair of a bucket is compared or already connected, a bucket
-   of copies costs one comparison a member, and no bucket is ever gathered in a task.
+3. A bucket's leader is the member that shares most bucket places with others, which finds the centre
+   of a group of near copies. All members are compared with it on whole sets: one comparison a member,
+   joined, never gathered.
+4. Members other than the leader that are now in one component need no more. In a bucket with several
+   components, the members outside its largest one are strays: every stray is compared with all other
+   members, in blocks of bounded size that hold whole sets. A block gives the links that connect
+   components, fewer than it has members, so pairs are not emitted.
+So every pair of a bucket is compared on whole sets or already connected.
 
 Defined results: null or wordless texts have an empty set, link with nothing and keep their own
 doc_id; a text of one word is the set of that word. A repeated row has the component of its copy and
@@ -33,6 +36,9 @@ BANDS = 2 * PERMUTATIONS // ROWS
 SHINGLE_WORDS = 2
 #: Percent of the union that the intersection must reach.
 PERCENT = 80
+#: Strays and partners that meet in one block, on average.
+BLOCK_STRAYS = 256
+BLOCK_PARTNERS = 1024
 
 
 def _sets(batch, width: int):
@@ -139,8 +145,8 @@ def minhash_near_dedup(
     keys = nodes.select("node", "n", F.posexplode("bands").alias("band", "key")).select(
         "node", "n", F.xxhash64("band", "key").alias("bucket")
     )
-    shared = keys.groupBy("bucket").agg(F.count(F.lit(1)).alias("members")).where("members > 1").select("bucket")
-    members = stored.put(keys.join(shared, "bucket").withColumn("component", F.col("node")))
+    shared = keys.groupBy("bucket").agg(F.count(F.lit(1)).alias("members")).where("members > 1")
+    members = stored.put(keys.join(shared, "bucket"))
     edges = _resolve(members, texts, nodes, stored, shingle_words, percent)
     label = components(edges, stored)
     named = nodes.select("node", "doc_id").join(label, "node", "left").select(
@@ -156,45 +162,105 @@ def minhash_near_dedup(
 
 
 def _resolve(members, texts, nodes, stored: Stored, width: int, percent: int) -> DataFrame:
-    """Edges (a, b) between nodes; see the module's third step."""
-    wanted = members.select("node").distinct()
-    # The same texts again, for their whole sets: one of each node that shares a bucket
-    chosen = stored.put(_whole_sets(texts, nodes, wanted, width))
-    edges = None
-    parts = 1
-    while not members.isEmpty():
-        members = members.withColumn("part", F.pmod(F.xxhash64("node", F.lit(parts)), F.lit(parts)))
-        leaders = members.groupBy("bucket", "part").agg(
-            F.min(F.struct(F.xxhash64("node").alias("h"), "node", "n", "component")).alias("l")
-        ).select(F.col("bucket").alias("_bucket"), F.col("l.node").alias("lead"), F.col("l.n").alias("lead_n"), F.col("l.component").alias("lead_component"))
-        near = (100 * F.least("n", "lead_n") >= percent * F.greatest("n", "lead_n")) & (F.col("component") != F.col("lead_component"))
-        pairs = (
-            members.join(leaders, (F.col("bucket") == F.col("_bucket")) & near)
-            .select(F.col("node").alias("a"), F.col("lead").alias("b"))
-            .distinct()
+    """Edges (a, b) between nodes; see the module's third and fourth step."""
+    chosen = stored.put(_whole_sets(texts, nodes, members.select("node").distinct(), width))
+    weight = members.groupBy("node").agg(F.sum("members").alias("weight"))
+    leaders = members.join(weight, "node").groupBy("bucket").agg(F.max(F.struct("weight", "node", "n")).alias("l"))
+    leaders = stored.put(leaders.select(F.col("bucket").alias("_bucket"), F.col("l.node").alias("lead"), F.col("l.n").alias("lead_n")))
+    led = members.join(leaders, F.col("bucket") == F.col("_bucket")).where("node <> lead")
+    near = 100 * F.least("n", "lead_n") >= percent * F.greatest("n", "lead_n")
+    pairs = led.where(near).select(F.col("node").alias("a"), F.col("lead").alias("b")).distinct()
+    left = chosen.select(F.col("node").alias("a"), F.col("items").alias("a_items"))
+    right = chosen.select(F.col("node").alias("b"), F.col("items").alias("b_items"))
+    both = F.size(F.array_intersect("a_items", "b_items"))
+    union = F.size("a_items") + F.size("b_items") - both
+    stars = stored.put(pairs.join(left, "a").join(right, "b").where(100 * both >= percent * union).select("a", "b"))
+    label = components(stars, stored)
+    known = label.select(F.col("node").alias("_node"), "component")
+    rest = stored.put(
+        led.join(known, F.col("node") == F.col("_node"), "left").select(
+            "bucket", "node", F.coalesce("component", "node").alias("component")
         )
-        left = chosen.select(F.col("node").alias("a"), F.col("items").alias("a_items"))
-        right = chosen.select(F.col("node").alias("b"), F.col("items").alias("b_items"))
-        both = F.size(F.array_intersect("a_items", "b_items"))
-        union = F.size("a_items") + F.size("b_items") - both
-        found = pairs.join(left, "a").join(right, "b").where(100 * both >= percent * union).select("a", "b")
-        found = stored.put(found if edges is None else edges.unionByName(found))
-        stored.drop(edges)
-        edges = found
-        label = components(edges, stored).select(F.col("node").alias("_node"), F.col("component").alias("now"))
-        rest = members.join(leaders.select("_bucket", "lead").distinct(), (F.col("bucket") == F.col("_bucket")) & (F.col("node") == F.col("lead")), "left_anti")
-        rest = rest.join(label, F.col("node") == F.col("_node"), "left").select(
-            "bucket", "node", "n", F.coalesce("now", "component").alias("component")
+    )
+    main = (
+        rest.groupBy("bucket", "component").agg(F.count(F.lit(1)).alias("k"))
+        .groupBy("bucket").agg(F.max(F.struct("k", "component")).alias("m"), F.sum("k").alias("total"))
+        .where("m.k < total")
+        .select(
+            F.col("bucket").alias("_bucket"), F.col("m.component").alias("main"),
+            F.ceil((F.col("total") - F.col("m.k")) / BLOCK_STRAYS).alias("s"), F.ceil(F.col("total") / BLOCK_PARTNERS).alias("p"),
         )
-        rest = stored.put(rest)
-        # What is left of a bucket counts only if it is still in several components
-        open_ = rest.groupBy("bucket").agg(F.min("component").alias("x"), F.max("component").alias("y")).where("x <> y")
-        following = stored.put(rest.join(open_.select("bucket"), "bucket", "left_semi"))
-        stored.drop(rest)
-        members, parts = following, parts * 2
-    if edges is None:
-        edges = members.select(F.col("node").alias("a"), F.col("node").alias("b"))
-    return edges
+    )
+    open_ = rest.join(main, F.col("bucket") == F.col("_bucket")).withColumn("stray", F.col("component") != F.col("main"))
+    filled = open_.join(chosen, "node")
+    own, every = F.xxhash64("node"), lambda n: F.explode(F.sequence(F.lit(0).cast("long"), F.col(n) - 1))
+    columns = ["bucket", "sb", "pb", "stray", "node", "component", "items"]
+    strays = filled.where("stray").withColumn("sb", F.pmod(own, "s")).withColumn("pb", every("p")).select(*columns)
+    partners = filled.withColumn("pb", F.pmod(own, "p")).withColumn("sb", every("s")).withColumn("stray", F.lit(False)).select(*columns)
+    blocks = strays.unionByName(partners).repartition("bucket", "sb", "pb").sortWithinPartitions("bucket", "sb", "pb", F.desc("stray"))
+    found = blocks.mapInArrow(partial(_block_links, percent=percent), "a binary, b binary")
+    return stored.put(label.where("node <> component").select(F.col("node").alias("a"), F.col("component").alias("b")).unionByName(found))
+
+
+def _block_links(batches, percent: int):
+    """Links that connect components, of blocks that lie together in the rows."""
+    import numpy as np
+    import pyarrow as pa
+
+    def links(strays: list, partners: list) -> list[tuple[bytes, bytes]]:
+        if not strays or not partners:
+            return []
+        values, place = np.unique(np.concatenate([x[2] for x in strays + partners]), return_inverse=True)
+        sizes = np.array([len(x[2]) for x in strays + partners])
+        row = np.repeat(np.arange(len(sizes)), sizes)
+        n = len(strays)
+        seen = np.zeros((2, len(values)), bool)
+        seen[0, place[row < n]] = seen[1, place[row >= n]] = True
+        common = seen[0] & seen[1]
+        keep = common[place]
+        column = (np.cumsum(common) - 1)[place[keep]]
+        row = row[keep]
+        both = np.zeros((n, len(partners)), np.float32)
+        order = np.argsort(column, kind="stable")
+        row, column = row[order], column[order]
+        for start in range(0, int(common.sum()), 2048):
+            a, b = np.searchsorted(column, [start, start + 2048])
+            cells = np.zeros((len(sizes), 2048), np.float32)
+            cells[row[a:b], column[a:b] - start] = 1
+            both += cells[:n] @ cells[n:].T
+        union = sizes[:n, None] + sizes[None, n:] - both
+        near = 100 * both.astype(np.int64) >= percent * union.astype(np.int64)
+        root: dict[bytes, bytes] = {}
+
+        def find(x: bytes) -> bytes:
+            while root.get(x, x) != x:
+                x = root[x]
+            return x
+
+        out = []
+        for i, j in np.argwhere(near):
+            x, y = find(strays[i][1]), find(partners[j][1])
+            if x != y:
+                root[max(x, y)] = min(x, y)
+                out.append((strays[i][0], partners[j][0]))
+        return out
+
+    key, sides, found = None, ([], []), []
+    for batch in batches:
+        rows = [batch.column(batch.schema.get_field_index(c)) for c in ("bucket", "sb", "pb", "stray", "node", "component")]
+        items = batch.column(batch.schema.get_field_index("items"))
+        values, ends = items.values.to_numpy(), items.offsets.to_numpy()
+        for at, (bucket, sb, pb, stray, node, component) in enumerate(zip(*[c.to_pylist() for c in rows])):
+            if (bucket, sb, pb) != key:
+                found += links(*sides)
+                key, sides = (bucket, sb, pb), ([], [])
+            sides[0 if stray else 1].append((node, component, values[ends[at] : ends[at + 1]].copy()))
+        if found:
+            yield pa.RecordBatch.from_arrays([pa.array([f[k] for f in found], pa.binary()) for k in (0, 1)], names=["a", "b"])
+            found = []
+    found += links(*sides)
+    if found:
+        yield pa.RecordBatch.from_arrays([pa.array([f[k] for f in found], pa.binary()) for k in (0, 1)], names=["a", "b"])
 
 
 def _whole_sets(texts, nodes, wanted, width: int) -> DataFrame:
