@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tripmart.llm.common import Stored, with_place, with_rank
-from tripmart.llm.tokens import encoder, tokenizer_path
+from tripmart.llm.tokens import encoded, encoder, tokenizer_path
 
 CAPACITY = 4096
 CHUNK = 4000
@@ -41,12 +41,6 @@ PIECE = "doc_id bigint, piece int, start bigint, length bigint, ids_crc32 bigint
 _STATE = f"level int, chunk bigint, island int, items array<struct<doc_id:bigint,piece:int,start:bigint,length:bigint,ids_crc32:bigint>>, bins array<int>"
 
 
-def _encoded(column, encode, at_once: int = 256):
-    """Ids of every text of an Arrow column; few of them are held at a time."""
-    for at in range(0, len(column), at_once):
-        yield from encode([t or "" for t in column.slice(at, at_once).to_pylist()])
-
-
 def _pieces(batches, path: str, end_id: int, capacity: int):
     import zlib
 
@@ -56,7 +50,7 @@ def _pieces(batches, path: str, end_id: int, capacity: int):
     close = end_id.to_bytes(4, "little")
     for batch in batches:
         out: tuple[list, ...] = ([], [], [], [], [])
-        for doc_id, ids in zip(batch.column(0).to_pylist(), _encoded(batch.column(1), encode)):
+        for doc_id, ids in zip(batch.column(0).to_pylist(), encoded(batch.column(1), encode)):
             ids += close
             for piece, at in enumerate(range(0, len(ids), 4 * capacity)):
                 part = ids[at : at + 4 * capacity]

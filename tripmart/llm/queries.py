@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tripmart.llm import exact_dedup, minhash, mixing, packing, quality
+from tripmart.llm import embeddings, exact_dedup, language, minhash, mixing, packing, quality, secrets, suffixes, token_files
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -104,3 +104,48 @@ def op7(spark, sf_dir):
 )
 def op8(spark, sf_dir):
     return exact_dedup.exact_dedup(table(spark, sf_dir, "documents"))
+
+
+@query(
+    "op1_embedding_near_dedup",
+    """
+    WITH RECURSIVE sound AS (
+        SELECT vec_id, label, embedding::DOUBLE[] AS e FROM embeddings
+        WHERE label IS NOT NULL AND embedding IS NOT NULL AND len(embedding) > 0
+            AND list_bool_and(list_transform(embedding, lambda x: x IS NOT NULL AND isfinite(x)))
+            AND list_bool_or(list_transform(embedding, lambda x: x <> 0))),
+    links AS (
+        SELECT x.vec_id AS a, y.vec_id AS b FROM sound x JOIN sound y
+        ON x.label = y.label AND x.vec_id <> y.vec_id AND len(x.e) = len(y.e) AND list_cosine_similarity(x.e, y.e) >= 0.93),
+    degrees AS (SELECT a, count(*) AS n FROM links GROUP BY a),
+    reach AS (
+        SELECT vec_id AS a, vec_id AS b FROM embeddings
+        UNION
+        SELECT reach.a, links.b FROM reach JOIN links ON reach.b = links.a),
+    smallest AS (SELECT a, min(b) AS component_id FROM reach GROUP BY a)
+    SELECT vec_id, coalesce(n, 0) AS n_links, component_id, vec_id = component_id AS kept
+    FROM embeddings LEFT JOIN degrees d ON d.a = vec_id JOIN smallest s ON s.a = vec_id
+    """,
+)
+def op1(spark, sf_dir):
+    return embeddings.near_vectors(table(spark, sf_dir, "embeddings"))
+
+
+@query("op6_token_output")
+def op6(spark, sf_dir):
+    return token_files.token_report(table(spark, sf_dir, "documents"))
+
+
+@query("op5_secret_scan")
+def op5(spark, sf_dir):
+    return secrets.secret_report(table(spark, sf_dir, "documents"))
+
+
+@query("op9_language_id")
+def op9(spark, sf_dir):
+    return language.identify(table(spark, sf_dir, "documents"))
+
+
+@query("op10_suffix_dedup")
+def op10(spark, sf_dir):
+    return suffixes.repeated_passages(table(spark, sf_dir, "documents"))

@@ -115,6 +115,12 @@ class Encoder:
         return [self.first[c[0]] + b"".join(ids) if c else next(wholes) for c, ids in zip(cuts, found)]
 
 
+def encoded(column, encode, at_once: int = 256):
+    """Ids of every text of an Arrow column; few of them are held at a time."""
+    for at in range(0, len(column), at_once):
+        yield from encode([t or "" for t in column.slice(at, at_once).to_pylist()])
+
+
 def encoder(path: str) -> Encoder:
     """One encoder per worker and file."""
     import os
