@@ -22,6 +22,8 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tripmart.operators.dimensions import broadcast_if_small
+
 BUCKETS = 4096
 CENTROIDS = 3
 SAMPLE = 1000
@@ -110,7 +112,8 @@ def fit(learned: DataFrame) -> Centroids | None:
     for bucket, n in summed:
         found[bucket] = n
     weights = np.log((1 + found[-1]) / (1 + found[:-1])) + 1
-    sizes = learned.groupBy("lang").agg(F.count(F.lit(1)).alias("_n")).select(F.col("lang").alias("_lang"), "_n")
+    # A row per language; copied to the tasks after a check of its size, so texts are not moved
+    sizes = broadcast_if_small(learned.groupBy("lang").agg(F.count(F.lit(1)).alias("_n")).select(F.col("lang").alias("_lang"), "_n"))
     drawn = F.pmod(F.xxhash64("text"), F.lit(1 << 30)) / F.lit(float(1 << 30))
     sample = learned.join(sizes, F.col("lang") == F.col("_lang")).where(drawn * F.col("_n") < SAMPLE).select("lang", "text")
     vectors = sample.mapInArrow(partial(_sampled, weights=weights), "lang string, x array<float>")
