@@ -110,7 +110,7 @@ def revenue_per_mile(spark, sf_dir):
             AS avg_speed_mph
         FROM trips_hourly
         WHERE pickup_hour >= TIMESTAMP '2025-01-01' AND pickup_hour < TIMESTAMP '2025-08-01'
-        GROUP BY 1 ORDER BY 1 LIMIT 100""",
+        GROUP BY 1 ORDER BY 1""",
 )
 def speed_by_hour(spark, sf_dir):
     return rounded(dashboard.chart("speed_by_hour", _hourly(spark, sf_dir)), "avg_speed_mph")
@@ -121,7 +121,7 @@ def speed_by_hour(spark, sf_dir):
     """SELECT lpad(CAST(hour(pickup_hour) AS VARCHAR), 2, '0') || 'h' AS hour_label,
         d.label AS weekday_label, sum(trips)::BIGINT AS trips
         FROM trips_hourly JOIN day_names d ON d.code = isodow(pickup_hour)
-        GROUP BY ALL ORDER BY ALL LIMIT 10000""",
+        GROUP BY ALL ORDER BY ALL""",
 )
 def hour_by_weekday(spark, sf_dir):
     return dashboard.chart("hour_by_weekday", _hourly(spark, sf_dir))
@@ -153,8 +153,7 @@ def service_share(spark, sf_dir):
              WHEN sum(total_revenue) < 6000000 THEN 1 WHEN sum(total_revenue) < 13000000 THEN 2
              WHEN sum(total_revenue) < 22000000 THEN 3 WHEN sum(total_revenue) < 45000000 THEN 4
              WHEN sum(total_revenue) < 100000000 THEN 5 ELSE 6 END AS bucket
-        FROM zones_geo WHERE geometry_json IS NOT NULL GROUP BY geometry_json, zone, borough
-        LIMIT 10000""",
+        FROM zones_geo WHERE geometry_json IS NOT NULL GROUP BY geometry_json, zone, borough""",
 )
 def zone_map(spark, sf_dir):
     tables = {"zones_geo": fixture.zones_geo(spark, sf_dir)}

@@ -177,3 +177,36 @@ def test_listing_needs_few_tasks(spark, tmp_path):
         "partition_date"
     ).parquet(location)
     assert list_files(spark, location).rdd.getNumPartitions() <= 2 * spark.sparkContext.defaultParallelism
+
+
+def test_month_of_differing_files_keeps_all_columns(spark, tmp_path):
+    """Columns of any file, types that differ between files, and codes with a fraction."""
+    month = f"{tmp_path}/raw/yellow_taxi/partition_date=2025-01-01"
+    first = spark.sql("SELECT 1.6D AS VendorID, 2L AS passenger_count, 5.0D AS Airport_fee")
+    second = spark.sql("SELECT 2L AS VendorID, 3.0D AS passenger_count, 7 AS extra_column")
+    first.write.mode("append").parquet(month)
+    second.write.mode("append").parquet(month)
+    rows = raw.read_raw_trips(spark, str(tmp_path), "yellow_taxi")
+    assert [r.VendorID for r in rows.collect()] == [2, 2]
+    fees = [c for c in rows.columns if c.lower() == "airport_fee"]
+    assert rows.agg({fees[0]: "sum"}).first()[0] == 5.0 and rows.agg({"extra_column": "sum"}).first()[0] == 7
+
+
+def test_months_are_checked_before_anything_is_read(spark, tmp_path):
+    from tripmart.plans.registry import Lake
+
+    lake = Lake(spark, str(tmp_path))
+    for name in ("stg_yellow_taxi", "trips"):
+        with pytest.raises(ValueError, match="YYYY-MM-DD"):
+            lake.build(name, "2025-2-1")
+
+
+def test_broken_weather_line_fails(spark, tmp_path):
+    folder = tmp_path / "raw" / "weather" / "partition_date=2025-01-01"
+    folder.mkdir(parents=True)
+    (folder / "a.json").write_text('{"time": "2025-01-01T00:00", "weather_code": 61.0, "relative_humidity_2m": 80.0}\n')
+    row = raw.read_raw_weather(spark, str(tmp_path)).first()
+    assert (row.weather_code, row.relative_humidity_2m) == (61, 80)
+    (folder / "a.json").write_text('{"time": "2025-01-01T00:00", "weath\n')
+    with pytest.raises(Exception, match="(?i)malformed"):
+        raw.read_raw_weather(spark, str(tmp_path)).collect()

@@ -2,35 +2,15 @@
 
 from __future__ import annotations
 
-import re
 from collections.abc import Iterable
 from datetime import date
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tripmart.paths import PARTITION
+from tripmart.paths import PARTITION, parse_months
 from tripmart.sources.lake import in_months, read_lake
 
-_DAY = re.compile(r"\d{4}-\d{2}-\d{2}")
-
-
-def parse_months(requested: str | date | Iterable[str | date] | None) -> list[str]:
-    """A list, a comma-separated text or one date; nothing given means the whole table."""
-    if requested is None:
-        return []
-    if isinstance(requested, str):
-        requested = requested.split(",")
-    elif isinstance(requested, date):
-        requested = [requested]
-    texts = [str(item).strip() for item in requested]
-    months = [text for text in texts if text]
-    for month in months:
-        if not _DAY.fullmatch(month):
-            raise ValueError(f"months must be YYYY-MM-DD dates, got: {month}")
-    return months
-
-
 def write_lake(
     df: DataFrame,
     location: str,

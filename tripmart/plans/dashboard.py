@@ -23,7 +23,7 @@ from tripmart.paths import PARTITION
 # The map's break points, the speed chart's period, the charts' row limits.
 BREAK_POINTS = (0, 6_000_000, 13_000_000, 22_000_000, 45_000_000, 100_000_000, 470_000_000)
 SPEED_PERIOD = (datetime(2025, 1, 1), datetime(2025, 8, 1))
-CATEGORY_LIMIT, CELL_LIMIT, TOP_ZONES = 100, 10_000, 10
+TOP_ZONES = 10
 
 
 def ratio(top: Column, bottom: Column) -> Column:
@@ -210,8 +210,8 @@ def metric(name: str) -> Callable[[dict[str, Column]], Column]:
     return lambda metrics: metrics[name]
 
 
-def _ordered(*columns: str, limit: int) -> Callable[[DataFrame], DataFrame]:
-    return lambda df: df.orderBy(*columns).limit(limit)
+def _ordered(*columns: str) -> Callable[[DataFrame], DataFrame]:
+    return lambda df: df.orderBy(*columns)
 
 
 def top_zones(df: DataFrame, limit: int = TOP_ZONES) -> DataFrame:
@@ -224,7 +224,7 @@ def share_of_bar(df: DataFrame) -> DataFrame:
     bar = Window.partitionBy("bar")
     rows = df.select(F.lit("All trips").alias("bar"), "*")
     rows = rows.withColumn("share", ratio(F.col("trips"), F.sum("trips").over(bar)))
-    return rows.orderBy(F.desc("trips"), "taxi_type_label").limit(CATEGORY_LIMIT)
+    return rows.orderBy(F.desc("trips"), "taxi_type_label")
 
 
 def colour_bucket(value: Column, points: tuple = BREAK_POINTS) -> Column:
@@ -236,9 +236,7 @@ def colour_bucket(value: Column, points: tuple = BREAK_POINTS) -> Column:
 
 
 def map_buckets(points: tuple = BREAK_POINTS) -> Callable[[DataFrame], DataFrame]:
-    return lambda df: df.withColumn(
-        "bucket", colour_bucket(F.col("total_revenue"), points)
-    ).limit(CELL_LIMIT)
+    return lambda df: df.withColumn("bucket", colour_bucket(F.col("total_revenue"), points))
 
 
 CHARTS: dict[str, Chart] = {
@@ -251,13 +249,13 @@ CHARTS: dict[str, Chart] = {
         {"avg_speed_mph": metric("avg_speed_mph")},
         by=("hour_label",),
         period=SPEED_PERIOD,
-        finish=_ordered("hour_label", limit=CATEGORY_LIMIT),
+        finish=_ordered("hour_label"),
     ),
     "hour_by_weekday": Chart(
         "trips_hourly",
         {"trips": metric("count")},
         by=("hour_label", "weekday_label"),
-        finish=_ordered("hour_label", "weekday_label", limit=CELL_LIMIT),
+        finish=_ordered("hour_label", "weekday_label"),
     ),
     "top_zones": Chart(
         "trips_hourly", {"revenue": metric("total_fare")}, by=("pickup_zone",), finish=top_zones
@@ -277,7 +275,7 @@ CHARTS: dict[str, Chart] = {
         {"trips_vs_dry_day": lambda _: F.avg("vs_dry_same_weekday")},
         by=("rain_intensity",),
         where=lambda: F.col("total_precipitation_mm") >= F.lit(DRY_BELOW_MM),
-        finish=_ordered("rain_intensity", limit=CATEGORY_LIMIT),
+        finish=_ordered("rain_intensity"),
     ),
 }
 

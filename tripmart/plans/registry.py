@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from tripmart.operators.dimensions import broadcast_if_small
 from tripmart.operators.sinks import write_lake
-from tripmart.paths import FINAL, PARTITION, RAW, STAGING, final_path, raw_path, staging_path, under
+from tripmart.paths import FINAL, PARTITION, RAW, STAGING, final_path, raw_path, staging_path, under, parse_months
 from tripmart.plans import marts, staging
 from tripmart.sources import raw, schemas
 from tripmart.sources.lake import read_lake
@@ -211,10 +211,10 @@ class Lake:
         return under(self.source_base, path)
 
     def read(self, name: str, months: list[str] | None = None) -> DataFrame:
-        return read_lake(self.spark, self.location(name), MODELS[name].schema, months)
+        return read_lake(self.spark, self.location(name), MODELS[name].schema, parse_months(months))
 
     def read_raw(self, table: str, months: list[str] | None = None) -> DataFrame:
-        reader = RAW_READERS[table]
+        reader, months = RAW_READERS[table], parse_months(months)
         if reader is None:
             return raw.read_raw_trips(self.spark, self.source_base, table, months)
         return reader(self.spark, self.source_base)
@@ -241,12 +241,12 @@ class Lake:
 
     def plan(self, name: str, months: list[str] | None = None) -> DataFrame:
         """The model's rows as a lazy DataFrame, from stored tables and raw files."""
-        model = MODELS[name]
+        model, months = MODELS[name], parse_months(months)
         return model.build({d: self._input(d, months) for d in model.depends_on})
 
     def build(self, name: str, months: list[str] | None = None) -> None:
-        """Write a model, or some months of it."""
-        model = MODELS[name]
+        """Write a model, or some months of it: a list, a comma-separated text or one date."""
+        model, months = MODELS[name], parse_months(months)
         chosen = months if model.partition_by else None
         if name == "stg_taxi_zone_lookup":
             self._lookup = None
@@ -256,9 +256,10 @@ class Lake:
 
     def side_by_side(self, work: Callable[[str], object], names: Iterable[str]) -> dict[str, object]:
         """Run independent builds at once, so that one's last tasks leave no executor idle."""
-        self.zone_lookup()
         names = list(names)
-        with ThreadPoolExecutor(len(names)) as pool:
+        if any("stg_taxi_zone_lookup" in MODELS[n].depends_on for n in names if n in MODELS):
+            self.zone_lookup()  # measured once for all of them
+        with ThreadPoolExecutor(max(1, len(names))) as pool:
             return dict(zip(names, pool.map(work, names)))
 
     def register_upstream(self, selected: list[str]) -> list[str]:

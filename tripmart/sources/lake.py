@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tripmart.paths import PARTITION
+from tripmart.paths import PARTITION, parse_months
 
 MANIFEST = f"{PARTITION} date, path string, modified timestamp"
 
@@ -25,13 +25,14 @@ def _not_found(error: AnalysisException) -> bool:
 
 
 def read_lake(
-    spark: SparkSession, location: str, schema: str | None = None, months: list[str] | None = None
+    spark: SparkSession, location: str, schema: str | None = None, months=None
 ) -> DataFrame:
     """A stored table: a folder of months, or one unpartitioned folder or file.
 
     With a declared schema no file is opened before the query runs. With months only their folders
     are listed, so a build of one month does not pay for the length of the history.
     """
+    months = parse_months(months)
     reader = spark.read.schema(schema) if schema else spark.read
     if not months:
         return reader.parquet(location)
@@ -60,6 +61,7 @@ def list_files(
     still plan about one task per stored file, so it is read in a sibling session whose
     splits are as large as needed for one task per core.
     """
+    months = parse_months(months)
     lister = spark.newSession()
     lister.conf.set("spark.sql.files.maxPartitionBytes", str(2**60))
     lister.conf.set("spark.sql.files.openCostInBytes", "1")

@@ -9,12 +9,13 @@ from functools import reduce
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
+from tripmart.functions.casts import int_column
 from tripmart.paths import PARTITION, raw_path, under
 from tripmart.sources import schemas
 from tripmart.sources.lake import declared, partition_times
 
 FOOTER_THREADS = 16
-_KNOWN_LAYOUTS: dict[tuple[str, datetime], T.StructType] = {}
+_KNOWN_LAYOUTS: dict[tuple[str, datetime], dict[str, T.StructType]] = {}
 _NUMBERS = (
     T.ByteType,
     T.ShortType,
@@ -57,10 +58,20 @@ def union_by_name(frames: list[DataFrame], schema: T.StructType) -> DataFrame:
 
     def aligned(frame: DataFrame) -> DataFrame:
         present = {c.lower(): c for c in frame.columns}
+
+        def value(key: str, wanted: T.DataType) -> str:
+            if key not in present:
+                return "null"
+            own = frame.schema[present[key]].dataType
+            if isinstance(wanted, T.IntegralType) and isinstance(own, (T.FloatType, T.DoubleType)):
+                return f"rint(`{present[key]}`)"  # a bare cast would cut the fraction off
+            if isinstance(wanted, T.IntegralType) and isinstance(own, T.DecimalType):
+                return f"round(`{present[key]}`, 0)"
+            return f"`{present[key]}`"
+
         return frame.selectExpr(
             *[
-                f"cast({f'`{present[key]}`' if key in present else 'null'} "
-                f"as {field.dataType.simpleString()}) as `{field.name}`"
+                f"cast({value(key, field.dataType)} as {field.dataType.simpleString()}) as `{field.name}`"
                 for key, field in targets.items()
             ]
         )
@@ -68,18 +79,27 @@ def union_by_name(frames: list[DataFrame], schema: T.StructType) -> DataFrame:
     return reduce(DataFrame.unionByName, [aligned(f) for f in frames])
 
 
+def _folder_layouts(spark: SparkSession, folder: str) -> dict[str, T.StructType]:
+    """The columns of a month from the footers of all its files: of the folder, or of each file if types differ."""
+    try:
+        return {folder: spark.read.option("mergeSchema", True).parquet(folder).schema}
+    except Exception as error:
+        if "CANNOT_MERGE" not in str(error) and "merge" not in str(error).lower():
+            raise
+    return {file: spark.read.parquet(file).schema for file in sorted(spark.read.parquet(folder).inputFiles())}
+
+
 def month_layouts(spark: SparkSession, written: dict[str, datetime]) -> dict[str, T.StructType]:
-    """Columns and types of each month folder, from one footer each, read a few at a time.
+    """Columns and types by path: a month folder, or each of its files where their types differ.
 
-    A layout is remembered until the folder is written again. A month's files come from one
-    publication; should one of them differ in a type after all, the scan fails rather than
-    misreads it.
+    All footers of a folder are read, a few folders at a time. Layouts are remembered until the
+    folder is written again.
     """
     unknown = [key for key in written.items() if key not in _KNOWN_LAYOUTS]
     with ThreadPoolExecutor(FOOTER_THREADS) as pool:
-        found = pool.map(lambda key: spark.read.parquet(key[0]).schema, unknown)
+        found = pool.map(lambda key: _folder_layouts(spark, key[0]), unknown)
         _KNOWN_LAYOUTS.update(zip(unknown, found))
-    return {folder: _KNOWN_LAYOUTS[folder, time] for folder, time in written.items()}
+    return {path: layout for key in written.items() for path, layout in _KNOWN_LAYOUTS[key].items()}
 
 
 def compatible_groups(
@@ -123,8 +143,18 @@ def read_raw_trips(
 
 
 def read_raw_weather(spark: SparkSession, base: str) -> DataFrame:
-    """JSON Lines, one file per day; the folder's day becomes a column."""
-    return spark.read.schema(schemas.RAW_WEATHER).json(under(base, raw_path("weather")))
+    """JSON Lines, one file per day; the folder's day becomes a column.
+
+    Whole numbers may be written as 61.0. A line that cannot be read fails the scan.
+    """
+    written = schemas.RAW_WEATHER.replace(" int", " double")
+    rows = spark.read.schema(written).option("mode", "FAILFAST").json(under(base, raw_path("weather")))
+    return rows.select(
+        *[
+            int_column(rows, name).alias(name) if schemas.HOURLY_VARIABLES.get(name) == "int" else name
+            for name in rows.columns
+        ]
+    )
 
 
 def read_zone_lookup(spark: SparkSession, base: str) -> DataFrame:
@@ -133,6 +163,7 @@ def read_zone_lookup(spark: SparkSession, base: str) -> DataFrame:
         spark.read.schema(schemas.RAW_ZONE_LOOKUP)
         .option("header", True)
         .option("enforceSchema", False)
+        .option("mode", "FAILFAST")
         .csv(under(base, raw_path("reference/taxi_zone_lookup")))
     )
 
