@@ -4,8 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import SparkSession
 
-# Nothing here fixes a cluster's size: partition counts are left to AQE, which starts
-# from `initialPartitionNum` and merges or splits by the advisory size.
+# Nothing here fixes a cluster's size: AQE starts from `initialPartitionNum` and merges partitions
+# by the advisory size. It splits skewed joins and rebalanced writes, never an aggregate's exchange.
 SETTINGS = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.ansi.enabled": "true",
