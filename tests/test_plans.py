@@ -9,10 +9,11 @@ import pytest
 from pyspark.sql import functions as F
 
 from tests.lake import MONTHS, land_day, land_month, make_lake, published_zones
+from tripmart.operators import checks
 from tripmart.operators.checks import ChecksFailed
 from tripmart.operators.sinks import write_lake
 from tripmart.paths import PARTITION, RAW, STAGING, FINAL
-from tripmart.plans import flows, marts, registry
+from tripmart.plans import flows, marts, registry, suites
 from tripmart.plans.registry import MODELS, MONTHLY_MARTS, SMALL_MARTS, STAGED_SERVICES, Lake
 from tripmart.plans.staging import SERVICES
 from tripmart.plans.staleness import stale_months
@@ -294,10 +295,28 @@ def test_history_load(spark, tmp_path):
             spark.sql(f"DROP DATABASE IF EXISTS {name} CASCADE")
 
 
-def test_history_needs_all_months(spark, tmp_path):
+def test_history_passes_over_unpublished_months(spark, tmp_path):
     lake = make_lake(spark, str(tmp_path), MONTHS[:1], weather_days=59)
-    with pytest.raises(FileNotFoundError, match="no files for 2025-02-01"):
-        flows.load_history(lake, date(2025, 1, 1), date(2025, 2, 1))
+    built = flows.load_history(lake, date(2025, 1, 1), date(2025, 2, 1))
+    assert built["absent"] == [f"{service} 2025-02-01" for service in SERVICES]
+    assert built["final"] == [MONTHS[0]] == built["green_taxi"]
+
+
+def test_raw_tests_of_chosen_months(spark, tmp_path):
+    base = str(tmp_path)
+    lake = make_lake(spark, base)
+
+    def no_zone(df):
+        return df.withColumn("PULocationID", F.lit(None).cast("bigint"))
+
+    land_month(spark, base, "yellow_taxi", MONTHS[0], change=no_zone)
+    land_month(spark, base, "yellow_taxi", MONTHS[2], rows=100)
+    with pytest.raises(ChecksFailed, match="not_null_PULocationID: 40, partition_volume_partition_date: 1"):
+        flows.check_raw(lake, "yellow_taxi")
+    assert flows.check_raw(lake, "yellow_taxi", MONTHS[1:2]) == []
+    # The months before are there to compare with, but not tested
+    with pytest.raises(ChecksFailed, match="raw yellow_taxi: partition_volume_partition_date: 1$"):
+        flows.check_raw(lake, "yellow_taxi", MONTHS[2])
 
 
 def test_months_between():
@@ -339,6 +358,14 @@ def test_trip_marts_do_not_shuffle(lake):
         assert plan.count("Exchange hashpartitioning") == (1 if name == "weather_impact" else 0)
 
 
+@pytest.mark.parametrize("service", SERVICES)
+def test_raw_tests_take_one_scan(spark, lake, service):
+    """Repeated rows alone need another."""
+    suite = [c for c in suites.RAW[service] if c.kind != "no_duplicate_rows"]
+    lookups = {suites.LOOKUP: lake.read_raw(suites.LOOKUP)}
+    assert plan_of(checks.run_checks(lake.read_raw(service), suite, lookups)).count("FileScan parquet") == 1
+
+
 def test_months_and_columns_reach_the_scan(lake):
     plan = plan_of(lake.plan("revenue", [MONTHS[1]]))
     for line in [x for x in plan.splitlines() if "FileScan parquet" in x]:

@@ -169,14 +169,21 @@ def test_listing(spark, tmp_path):
     assert read_lake(spark, location).schema["partition_date"].dataType.simpleString() == "date"
 
 
-def test_listing_needs_few_tasks(spark, tmp_path):
+def test_listing_shows_data_files_only(spark, tmp_path):
     from tripmart.sources.lake import list_files
 
     location = str(tmp_path / "many")
     spark.range(64).repartition(64).selectExpr("id", "date'2025-01-01' AS partition_date").write.partitionBy(
         "partition_date"
     ).parquet(location)
-    assert list_files(spark, location).rdd.getNumPartitions() <= 2 * spark.sparkContext.defaultParallelism
+    (tmp_path / "many" / "partition_date=2025-02-01").mkdir()
+    (tmp_path / "many" / "partition_date=2025-01-01" / "_temporary").touch()
+    written = list((tmp_path / "many" / "partition_date=2025-01-01").glob("*.parquet"))
+    files = list_files(spark, location).collect()
+    assert len(files) == len(written) and {r["partition_date"].isoformat() for r in files} == {"2025-01-01"}
+    assert spark.read.parquet(*[r["path"] for r in files]).count() == 64
+    assert list_files(spark, location, ["2025-02-01"]).count() == 0
+    assert path_exists(spark, location) and not path_exists(spark, f"{location}/partition_date=2025-02-01")
 
 
 def test_month_of_differing_files_keeps_all_columns(spark, tmp_path):

@@ -12,6 +12,8 @@ from pyspark.sql import functions as F
 from tripmart.functions.rounding import round_half_away
 
 ERROR, WARN = "error", "warn"
+#: Partitions before one that its volume is compared with.
+LOOKBACK = 3
 
 
 @dataclass(frozen=True)
@@ -96,7 +98,7 @@ def rows_per_partition(df: DataFrame, column: str) -> DataFrame:
     )
 
 
-def with_previous_average(counts: DataFrame, lookback: int = 3) -> DataFrame:
+def with_previous_average(counts: DataFrame, lookback: int = LOOKBACK) -> DataFrame:
     """Each partition beside the mean size of the ones before it.
 
     The window has no partitioning, but only sees one row per month.
@@ -105,18 +107,23 @@ def with_previous_average(counts: DataFrame, lookback: int = 3) -> DataFrame:
     return counts.withColumn("previous_avg", F.avg("row_count").over(before))
 
 
+def is_odd_volume(min_ratio: float = 0.5, max_ratio: float = 2.0) -> Column:
+    usual = F.col("previous_avg")
+    odd = (F.col("row_count") < usual * min_ratio) | (F.col("row_count") > usual * max_ratio)
+    return usual.isNotNull() & odd
+
+
 def odd_volumes(
     df: DataFrame,
     column: str,
     min_ratio: float = 0.5,
     max_ratio: float = 2.0,
-    lookback: int = 3,
+    lookback: int = LOOKBACK,
 ) -> DataFrame:
     """Partitions far smaller or larger than those before; the first has nothing to compare."""
     compared = with_previous_average(rows_per_partition(df, column), lookback)
-    usual = F.col("previous_avg")
-    odd = (F.col("row_count") < usual * min_ratio) | (F.col("row_count") > usual * max_ratio)
-    return compared.where(usual.isNotNull() & odd).withColumn("previous_avg", round_half_away(usual))
+    odd = compared.where(is_odd_volume(min_ratio, max_ratio))
+    return odd.withColumn("previous_avg", round_half_away(F.col("previous_avg")))
 
 
 def unreconciled(trips: DataFrame, **marts: DataFrame) -> DataFrame:
@@ -157,6 +164,63 @@ def count_row_failures(df: DataFrame, checks: list[Check]) -> DataFrame:
     return df.agg(F.array(*counts).alias("results")).select(F.inline("results"))
 
 
+def count_together(
+    df: DataFrame,
+    checks: list[Check],
+    lookups: dict[str, DataFrame] | None = None,
+    partitions: list | None = None,
+) -> DataFrame:
+    """Tests of single rows, of references and of one column's volumes, all from one scan.
+
+    Rows are counted per partition and referenced values first: the lookups are joined to one row
+    per combination, and no value is too frequent. With partitions, failures are counted in these
+    only, and the others are what their volumes are compared with.
+    """
+    volume = next((c for c in checks if c.kind == "partition_volume"), None)
+    references = [c for c in checks if c.kind == "relationships"]
+    failed = {n: f"_failed_{n}" for n, c in enumerate(checks) if c is not volume}
+    keys = dict.fromkeys(c.column for c in ([volume] if volume else []) + references)
+    found = df.groupBy(*keys).agg(
+        F.count(F.lit(1)).alias("_rows"),
+        *[
+            F.count_if(ROW_RULES[c.kind](c.column, **c.arguments)).alias(failed[n])
+            for n, c in enumerate(checks)
+            if c.kind in ROW_RULES
+        ],
+    )
+    for n, check in enumerate(checks):
+        if check in references:
+            lookup, own, known = lookups[check.arguments["to"]], F.col(check.column), f"_known_{n}"
+            values = lookup.select(F.col(check.arguments["field"]).alias(known)).distinct()
+            missing = own.isNotNull() & F.col(known).isNull()
+            found = found.join(values, own == F.col(known), "left").withColumn(
+                failed[n], F.when(missing, F.col("_rows")).otherwise(0)
+            )
+    sums = [F.sum(name).alias(name) for name in failed.values()]
+    if volume:
+        limits = dict(volume.arguments)
+        totals = found.groupBy(F.col(volume.column).alias("partition_value")).agg(
+            F.sum("_rows").alias("row_count"), *sums
+        )
+        found = with_previous_average(totals, limits.pop("lookback", LOOKBACK))
+        found = found.withColumn("_odd", is_odd_volume(**limits))
+        if partitions:
+            found = found.where(F.col("partition_value").isin(partitions))
+
+    def failures(n: int) -> Column:
+        if n not in failed:
+            return F.count_if("_odd")
+        return F.coalesce(F.sum(failed[n]), F.lit(0)).cast("bigint")
+
+    counts = [
+        F.struct(
+            F.lit(c.name).alias("check"), F.lit(c.severity).alias("severity"), failures(n).alias("failures")
+        )
+        for n, c in enumerate(checks)
+    ]
+    return found.agg(F.array(*counts).alias("results")).select(F.inline("results"))
+
+
 def _counted(failures: DataFrame, check: Check, amount: Column) -> DataFrame:
     return failures.agg(
         F.lit(check.name).alias("check"),
@@ -166,25 +230,31 @@ def _counted(failures: DataFrame, check: Check, amount: Column) -> DataFrame:
 
 
 def run_checks(
-    df: DataFrame, checks: list[Check], lookups: dict[str, DataFrame] | None = None
+    df: DataFrame,
+    checks: list[Check],
+    lookups: dict[str, DataFrame] | None = None,
+    partitions: list | None = None,
 ) -> DataFrame:
-    """Test name, severity and number of failures for every declared test of a table."""
-    row_level = [c for c in checks if c.kind in ROW_RULES]
-    results = [count_row_failures(df, row_level)] if row_level else []
+    """Test name, severity and number of failures for every declared test of a table.
+
+    With partitions, which needs a test of volumes, only these are tested.
+    """
+    volumes = [c for c in checks if c.kind == "partition_volume"]
+    together = [c for c in checks if c.kind in (*ROW_RULES, "relationships")] + volumes[:1]
+    if len(volumes) > 1 or (partitions and not volumes):
+        raise ValueError("one test of volumes names the partitions of a table")
+    if volumes or any(c.kind == "relationships" for c in together):
+        results = [count_together(df, together, lookups, partitions)]
+    else:
+        results = [count_row_failures(df, together)] if together else []
+    tested = df.where(F.col(volumes[0].column).isin(partitions)) if partitions else df
     for check in checks:
         if check.kind == "unique":
-            failed = repeated_values(df, check.column)
+            failed = repeated_values(tested, check.column)
             results.append(_counted(failed, check, F.count(F.lit(1))))
-        elif check.kind == "relationships":
-            to, key = check.arguments["to"], check.arguments["field"]
-            failed = missing_in_lookup(df, check.column, lookups[to], key)
-            results.append(_counted(failed, check, F.sum("n_records")))
         elif check.kind == "no_duplicate_rows":
-            results.append(_counted(duplicate_rows(df), check, F.sum("duplicate_rows")))
-        elif check.kind == "partition_volume":
-            failed = odd_volumes(df, check.column, **check.arguments)
-            results.append(_counted(failed, check, F.count(F.lit(1))))
-        elif check.kind not in ROW_RULES:
+            results.append(_counted(duplicate_rows(tested), check, F.sum("duplicate_rows")))
+        elif check not in together:
             raise ValueError(f"unknown test: {check.kind}")
     return reduce(DataFrame.unionByName, results)
 

@@ -8,9 +8,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tripmart.operators.catalog import recreate_tables, repair_table
-from tripmart.operators.checks import ChecksFailed, gate, run_checks, unreconciled
+from tripmart.operators.checks import LOOKBACK, ChecksFailed, gate, run_checks, unreconciled
 from tripmart.operators.sinks import replace_file
-from tripmart.paths import FINAL, PARTITION, RAW, STAGING, raw_path, staging_path
+from tripmart.paths import FINAL, PARTITION, RAW, STAGING, parse_months, raw_path, staging_path
 from tripmart.plans import suites
 from tripmart.plans.registry import (
     MODELS,
@@ -30,11 +30,23 @@ from tripmart.sources.polygons import zone_geometry
 POLYGONS = staging_path("reference/taxi_zones_geo")
 
 
-def check_raw(lake: Lake, table: str) -> list:
-    checks = suites.RAW[table]
+def check_raw(lake: Lake, table: str, months: list[str] | None = None) -> list:
+    """All tests of a raw table; with months, of these months only.
+
+    The months just before are read too, since volumes are compared with theirs.
+    """
+    checks, months = suites.RAW[table], parse_months(months)
     needs_lookup = any(c.kind == "relationships" for c in checks)
     lookups = {suites.LOOKUP: lake.read_raw(suites.LOOKUP)} if needs_lookup else {}
-    return gate(run_checks(lake.read_raw(table), checks, lookups), f"raw {table}")
+    read: list[str] = []
+    if months:
+        landed = list_partitions(lake.spark, lake.source_location(raw_path(table)))
+        back = max(c.arguments.get("lookback", LOOKBACK) for c in checks if c.kind == "partition_volume")
+        places = [at for at, month in enumerate(landed) if month in months]
+        read = sorted({month for at in places for month in landed[max(0, at - back) : at + 1]})
+    rows = lake.read_raw(table, read)
+    tested = [date.fromisoformat(month) for month in months]
+    return gate(run_checks(rows, checks, lookups, tested), f"raw {table}")
 
 
 def check_model(lake: Lake, name: str, months: list[str] | None = None) -> list:
@@ -69,7 +81,7 @@ def build_staging(
     )
     if not months:
         return []
-    check_raw(lake, service)
+    check_raw(lake, service, months if test_built_only else None)
     lake.build(name, months)
     check_model(lake, name, months if test_built_only else None)
     if database:
@@ -189,24 +201,25 @@ def load_history(
 ) -> dict[str, list[str]]:
     """Everything from landed files, in the order the tables need each other.
 
-    Returns the months each service and the final layer built; refuses a range whose months or
-    weather days have not all landed.
+    Returns the months each service and the final layer built. Trip months of the range that are
+    not published yet are passed over and returned under `absent`, as service and month; a range
+    whose weather days have not all landed is refused. Stale months outside the range are built too.
     """
     names = databases or {}
     gaps = [r[0].isoformat() for r in missing_days(lake, first, last).orderBy(PARTITION).take(5)]
     if gaps:
         raise FileNotFoundError(f"no weather files for {', '.join(gaps)} ...")
+    absent = []
     for service in SERVICES:
         landed = list_partitions(lake.spark, lake.source_location(raw_path(service)))
-        absent = set(months_between(first, last)) - set(landed)
-        if absent:
-            raise FileNotFoundError(f"{service}: no files for {', '.join(sorted(absent))}")
+        absent += [f"{service} {m}" for m in months_between(first, last) if m not in landed]
     build_zones(lake, published_zones, names.get(STAGING))
     build_weather(lake, names.get(STAGING))
     built = lake.side_by_side(
         lambda s: build_staging(lake, s, database=names.get(STAGING)), SERVICES
     )
     built["final"] = build_final(lake, database=names.get(FINAL))
+    built["absent"] = absent
     if RAW in names:
         register_raw(lake, names[RAW])
     return built

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
 from datetime import date
 from functools import lru_cache
 
@@ -12,7 +13,7 @@ from pyspark.sql import types as T
 
 from tripmart.paths import PARTITION, parse_months
 
-MANIFEST = f"{PARTITION} date, path string, modified timestamp"
+LISTING_THREADS = 16
 
 
 def month_folders(location: str, months: list[str]) -> str:
@@ -52,61 +53,65 @@ def in_months(df: DataFrame, months: list[str] | None) -> DataFrame:
     return df.where(F.col(PARTITION).isin([date.fromisoformat(m) for m in months]))
 
 
-def list_files(
-    spark: SparkSession, location: str, months: list[str] | None = None
-) -> DataFrame:
-    """Month, path and write time of each data file, from the file listing alone.
+def _found(spark: SparkSession, pattern: str) -> list:
+    """Name, path, write time and kind of what matches a path pattern, hidden names aside."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(pattern)
+    matches = path.getFileSystem(spark._jsc.hadoopConfiguration()).globStatus(path)
+    rows = [(s.getPath().getName(), s.getPath().toString(), s) for s in matches or []]
+    return [row for row in rows if not row[0].startswith(("_", "."))]
+
+
+def _month_files(
+    spark: SparkSession, location: str, months: list[str] | None
+) -> list[tuple[date, list[tuple[str, int]]]]:
+    """Each month's files with their write times in milliseconds.
 
-    `binaryFile` lists without opening anything, since `content` is never selected. It would
-    still plan about one task per stored file, so it is read in a sibling session whose
-    splits are as large as needed for one task per core.
+    A listing of a folder already holds the write times, so the storage is asked once per folder,
+    several folders at a time, and never for a single file.
     """
     months = parse_months(months)
-    lister = spark.newSession()
-    lister.conf.set("spark.sql.files.maxPartitionBytes", str(2**60))
-    lister.conf.set("spark.sql.files.openCostInBytes", "1")
-    empty = spark.createDataFrame([], MANIFEST)
-    try:
-        files = (
-            lister.read.format("binaryFile")
-            .option("basePath", location)
-            .load(month_folders(location, months) if months else location)
-        )
-    except AnalysisException as error:
-        if _not_found(error):
-            return empty
-        raise
-    if PARTITION not in files.columns:
-        return empty
-    # Files named like a month's folder but holding no data (`_SUCCESS`) are never listed
-    return files.select(
-        F.col(PARTITION).cast("date").alias(PARTITION),
-        "path",
-        F.col("modificationTime").alias("modified"),
-    )
+    pattern = month_folders(location, months) if months else f"{location.rstrip('/')}/{PARTITION}=*"
+    folders = [(name.partition("=")[2], path) for name, path, _ in _found(spark, pattern)]
+
+    def files(folder: str) -> list[tuple[str, int]]:
+        return [(p, s.getModificationTime()) for _, p, s in _found(spark, f"{folder}/*") if s.isFile()]
+
+    with ThreadPoolExecutor(LISTING_THREADS) as pool:
+        listed = list(pool.map(files, [path for _, path in folders]))
+    return [(date.fromisoformat(day), held) for (day, _), held in zip(folders, listed) if held]
+
+
+def _with_times(spark: SparkSession, rows: list[tuple], columns: str) -> DataFrame:
+    listed = spark.createDataFrame(rows, f"{columns}, millis bigint")
+    return listed.withColumn("modified", F.timestamp_millis("millis")).drop("millis")
+
+
+def list_files(
+    spark: SparkSession, location: str, months: list[str] | None = None
+) -> DataFrame:
+    """Month, path and write time of each data file, from the folder listings alone."""
+    found = _month_files(spark, location, months)
+    rows = [(month, path, time) for month, files in found for path, time in files]
+    return _with_times(spark, rows, f"{PARTITION} date, path string")
 
 
 def partition_times(
     spark: SparkSession, location: str, months: list[str] | None = None
 ) -> DataFrame:
     """Month -> when its newest file was written. One row per month."""
-    return list_files(spark, location, months).groupBy(PARTITION).agg(F.max("modified").alias("modified"))
+    found = _month_files(spark, location, months)
+    rows = [(month, max(time for _, time in files)) for month, files in found]
+    return _with_times(spark, rows, f"{PARTITION} date")
 
 
 def list_partitions(spark: SparkSession, location: str) -> list[str]:
     """The months a table holds, in order. A few hundred values at most."""
-    months = list_files(spark, location).select(PARTITION).distinct().orderBy(PARTITION)
-    return [row[0].isoformat() for row in months.collect()]
+    return sorted(month.isoformat() for month, _ in _month_files(spark, location, None))
 
 
 def path_exists(spark: SparkSession, location: str) -> bool:
-    try:
-        spark.read.format("binaryFile").load(location)
-    except AnalysisException as error:
-        if _not_found(error):
-            return False
-        raise
-    return True
+    """Whether there is a file, or a folder that holds something."""
+    return any(s.isFile() or _found(spark, f"{path}/*") for _, path, s in _found(spark, location))
 
 
 @lru_cache(maxsize=None)
