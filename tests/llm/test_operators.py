@@ -262,6 +262,7 @@ def test_secrets(spark, odd, empty):
         spans = sorted((m.start(), k, m.end()) for k, (regex, least, group) in enumerate(rules) for m in regex.finditer(text) if len(m.group(group)) >= least)
         joined = ",".join(f"{secrets.BASE[k].kind}:{a}:{b}" for a, k, b in spans)
         assert found[n].base_sha256 == hashlib.sha256(joined.encode()).hexdigest(), text
+        assert [found[n].n_assign, found[n].n_access, found[n].n_hex] == [sum(k == rank for _, rank, _ in spans) for k in range(3)], text
     assert found[5].spans.startswith("github:0:40") or "github:0:40" in found[5].spans
     assert found[7].spans == "private_key:0:31"
     assert secrets.secret_report(odd).count() == len(ODD) + 2 and secrets.secret_report(empty).count() == 0

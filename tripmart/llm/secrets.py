@@ -195,5 +195,8 @@ def secret_report(docs: DataFrame) -> DataFrame:
     found = scan(docs).select("doc_id", "found")
     base = F.filter("found", lambda s: s["rank"] < len(BASE))
     text = lambda a: F.array_join(F.transform(a, lambda s: F.concat_ws(":", s["kind"], s["start"].cast("string"), s["end"].cast("string"))), ",")
-    counts = [F.size(F.filter("found", lambda s, n=n: s["rank"] == n)).cast("long").alias(f"n_{r.kind}") for n, r in enumerate(BASE)]
+    def number(rank):  # a second parameter of the lambda would be the index of the element
+        return F.size(F.filter("found", lambda s: s["rank"] == rank)).cast("long")
+
+    counts = [number(n).alias(f"n_{r.kind}") for n, r in enumerate(BASE)]
     return found.select("doc_id", *counts, F.sha2(text(base).cast("binary"), 256).alias("base_sha256"), text("found").alias("spans"))
