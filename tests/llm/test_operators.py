@@ -191,6 +191,16 @@ def test_packing(spark, odd, empty):
     assert packing.pack(odd).where("piece = 0").count() == len(ODD) + 2 and packing.pack(empty).count() == 0
 
 
+@pytest.mark.parametrize("rows, empties, chunk", [(10000, 1, 4000), (9000, 3, 2000), (90, 1, 2)])
+def test_packing_ends_with_empty_texts(spark, rows, empties, chunk):
+    words = prose(3, 900)
+    texts = spark.createDataFrame([(n, None if n % empties == 0 else " ".join(words[: n % 300])) for n in range(rows)], "doc_id bigint, text string")
+    done = packing.pack(texts, chunk=chunk).groupBy("sequence_id").agg(F.sum("length").alias("n"), F.max(F.col("offset") + F.col("length")).alias("end"), F.collect_list("doc_id").alias("ids")).collect()
+    assert sorted(i for r in done for i in r.ids) == list(range(rows))
+    assert all(r.n == r.end <= 4096 for r in done)
+    assert len(done) <= -(-sum(r.n for r in done) // 4096) + 2
+
+
 def test_evolution_never_gets_worse():
     draw = random.Random(1)
     lengths = [draw.randrange(900, 2100) for _ in range(300)]

@@ -9,7 +9,9 @@ chunk. An island stops when it has reached the least possible number of bins.
 
 The worst-filled bins of every chunk are then opened, and their pieces, a twentieth of the chunk's at
 most, form the chunks of the next level, until a level is one chunk. So the ends of chunks do not add
-up to waste, and the levels shrink by twenty times.
+up to waste, and the levels shrink by ten times or more. Where an opened bin holds more pieces than
+that, its small ones are joined into blocks of up to JOINED tokens, which are packed as one piece from
+then on; a level that did not shrink to a half doubles JOINED. Whatever the lengths, levels end.
 
 Defined results: null text is the empty text, which is its closing id alone. Repeated rows, null
 doc_ids and equal lengths are packed as they come: every row has its own pieces. Empty tables give
@@ -34,11 +36,14 @@ POPULATION = 4
 GENERATIONS = 6
 #: Share of a chunk's pieces that may go to the next level.
 OPENED = 0.05
+#: Tokens of a block of small pieces.
+JOINED = 64
 END_ID = 1
 TOKENIZER = "word_bpe_49k.json"
 
 PIECE = "doc_id bigint, piece int, start bigint, length bigint, ids_crc32 bigint"
-_STATE = f"level int, chunk bigint, island int, items array<struct<doc_id:bigint,piece:int,start:bigint,length:bigint,ids_crc32:bigint>>, bins array<int>"
+_MEMBERS = "array<struct<doc_id:bigint,piece:int,start:bigint,length:bigint,ids_crc32:bigint>>"
+_STATE = f"level int, chunk bigint, island int, items array<struct<length:bigint,members:{_MEMBERS}>>, bins array<int>"
 
 
 def _pieces(batches, path: str, end_id: int, capacity: int):
@@ -181,28 +186,51 @@ def _evolved(batches, capacity: int):
         yield pa.RecordBatch.from_arrays([*columns, pa.array(assigned, pa.list_(pa.int32()))], names=["level", "chunk", "island", "items", "bins"])
 
 
-def _settled(batches, capacity: int, last: bool):
-    """Bins of each chunk's best packing; `open` marks pieces for the next level (none if `last`)."""
+def _joined(items: list[dict], most: int) -> list[dict]:
+    """Items of up to `most` tokens in blocks of up to `most`: no two blocks in turn would fit one."""
+    out: list[dict] = []
+    for item in sorted(items, key=lambda x: -x["length"]):
+        if out and out[-1]["length"] + item["length"] <= most:
+            out[-1] = {"length": out[-1]["length"] + item["length"], "members": out[-1]["members"] + item["members"]}
+        else:
+            out.append(item)
+    return out
+
+
+def _settled(batches, capacity: int, last: bool, joined: int = JOINED):
+    """Bins of each chunk's best packing; `open` marks items for the next level (none if `last`).
+
+    A row is a piece of a closed bin, or an open item with its members.
+    """
     import pyarrow as pa
 
+    piece = [("doc_id", pa.int64()), ("piece", pa.int32()), ("start", pa.int64()), ("length", pa.int64()), ("ids_crc32", pa.int64())]
+    schema = pa.schema([*piece, ("open", pa.bool_()), ("sequence_id", pa.int64()), ("offset", pa.int64()), ("members", pa.list_(pa.struct(piece)))])
     for batch in batches:
         for level, chunk, items, bins in zip(*[batch.column(batch.schema.get_field_index(n)) for n in ("level", "chunk", "items", "bins")]):
             rows = items.as_py()
             packed = _bins_of(bins.as_py())
             packed.sort(key=lambda b: sum(rows[i]["length"] for i in b))
-            may = 0 if last else max(int(OPENED * len(rows)), len(packed[0]))
+            may = int(OPENED * len(rows))
             out: list[dict] = []
             opening = not last
-            for at, members in enumerate(packed):
-                full = sum(rows[i]["length"] for i in members) >= capacity
-                opening = opening and not full and len(members) <= may
-                may -= len(members) if opening else 0
+            for at, numbers in enumerate(packed):
+                held = [rows[i] for i in numbers]
+                if opening:
+                    units = held if len(held) <= may else _joined(held, joined)
+                    # The worst bin is always opened
+                    opening = sum(x["length"] for x in held) < capacity and (at == 0 or len(units) <= may)
+                if opening:
+                    may -= len(units)
+                    out += [x | {"open": True} for x in units]
+                    continue
+                sequence = (level.as_py() << 58) + (chunk.as_py() << 20) + at
                 offset = 0
-                for i in members:
-                    sequence = (level.as_py() << 58) + (chunk.as_py() << 20) + at
-                    out.append(rows[i] | {"open": opening, "sequence_id": sequence, "offset": offset})
-                    offset += rows[i]["length"]
-            yield pa.RecordBatch.from_pylist(out, schema=pa.schema([("doc_id", pa.int64()), ("piece", pa.int32()), ("start", pa.int64()), ("length", pa.int64()), ("ids_crc32", pa.int64()), ("open", pa.bool_()), ("sequence_id", pa.int64()), ("offset", pa.int64())]))
+                for item in held:
+                    for member in item["members"]:
+                        out.append(member | {"open": False, "sequence_id": sequence, "offset": offset})
+                        offset += member["length"]
+            yield pa.RecordBatch.from_pylist(out, schema=schema)
 
 
 def token_pieces(docs: DataFrame, tokenizer: str | None = None, end_id: int = END_ID, capacity: int = CAPACITY) -> DataFrame:
@@ -215,15 +243,21 @@ def token_pieces(docs: DataFrame, tokenizer: str | None = None, end_id: int = EN
 def pack(docs: DataFrame, tokenizer: str | None = None, end_id: int = END_ID, capacity: int = CAPACITY, chunk: int = CHUNK) -> DataFrame:
     """Rows (doc_id, piece, start, length, ids_crc32, sequence_id, offset)."""
     stored = Stored(docs.sparkSession)
-    pieces = stored.put(with_place(token_pieces(docs, tokenizer, end_id, capacity)))
-    done = None
-    level = 0
     names = ["doc_id", "piece", "start", "length", "ids_crc32"]
+    pieces = token_pieces(docs, tokenizer, end_id, capacity).select("length", F.array(F.struct(*names)).alias("members"))
+    pieces = stored.put(with_place(pieces))
+    done = before = None
+    level, joined = 0, JOINED
+    # A chunk of one piece would be opened whole
+    chunk = max(2, chunk)
     while True:
         count = pieces.count()
         last = count <= chunk
+        # With blocks of a whole bin a chunk opens one item, or a twentieth of its own
+        joined = min(capacity, 2 * joined) if before is not None and 2 * count > before else joined
+        before = count
         numbered = with_rank(pieces).withColumn("chunk", F.floor(F.col("_rank") / chunk).cast("long"))
-        states = numbered.groupBy("chunk").agg(F.collect_list(F.struct(*names)).alias("items"))
+        states = numbered.groupBy("chunk").agg(F.collect_list(F.struct("length", "members")).alias("items"))
         states = states.select(
             F.lit(level).alias("level"), "chunk", F.explode(F.sequence(F.lit(0), F.lit(ISLANDS - 1))).alias("island"),
             "items", F.lit(None).cast("array<array<int>>").alias("elites"),
@@ -244,12 +278,15 @@ def pack(docs: DataFrame, tokenizer: str | None = None, end_id: int = END_ID, ca
         best = evolved.groupBy("chunk").agg(
             F.min_by(F.struct("level", "chunk", "items", "bins"), F.struct(F.array_max("bins"), F.col("island"))).alias("s")
         ).select("s.*")
-        settled = stored.put(with_place(best.mapInArrow(partial(_settled, capacity=capacity, last=last), f"{PIECE}, open boolean, sequence_id bigint, offset bigint")))
+        settled = best.mapInArrow(
+            partial(_settled, capacity=capacity, last=last, joined=joined), f"{PIECE}, open boolean, sequence_id bigint, offset bigint, members {_MEMBERS}"
+        )
+        settled = stored.put(settled)
         stored.drop(evolved)
         stored.drop(pieces)
         closed = settled.where("not open").select(*names, "sequence_id", "offset")
         done = closed if done is None else done.unionByName(closed)
         if last:
             return done
-        pieces = stored.put(with_place(settled.where("open").select(*names)))
+        pieces = stored.put(with_place(settled.where("open").select("length", "members")))
         level += 1
