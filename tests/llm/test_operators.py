@@ -320,3 +320,23 @@ def test_suffixes_against_all_windows(spark, odd, empty):
         wanted = {j for i in range(len(words) - 49) if len(windows[tuple(words[i : i + 50])]) > 1 for j in range(i, i + 50)}
         assert covered[n] == wanted, n
     assert suffixes.repeated_passages(odd).count() == 0 and suffixes.repeated_passages(empty).count() == 0
+
+
+@pytest.mark.parametrize("size", [48, 60])
+def test_suffixes_of_a_frequent_phrase(spark, size):
+    """Pairs share a few words more than the phrase that all hold: after it, before it, or on both sides."""
+    phrase = prose(2000, size)
+    texts = [prose(3000 + n, 60) + phrase + prose(4000 + n, 60) for n in range(60)]
+    for n in range(24):
+        before, after = [(0, 5), (5, 0), (3, 2)][n % 3]
+        first, last = prose(5000 + n, before), prose(6000 + n, after)
+        texts += [prose(7000 + 2 * n + k, 60) + first + phrase + last + prose(8000 + 2 * n + k, 60) for k in (0, 1)]
+    windows = defaultdict(set)
+    for n, words in enumerate(texts):
+        for i in range(len(words) - 49):
+            windows[tuple(words[i : i + 50])].add(n)
+    covered = defaultdict(set)
+    for r in suffixes.repeated_passages(frame(spark, [" ".join(t) for t in texts])).collect():
+        covered[r.doc_id].update(range(r.start_word, r.end_word))
+    for n, words in enumerate(texts):
+        assert covered[n] == {j for i in range(len(words) - 49) if len(windows[tuple(words[i : i + 50])]) > 1 for j in range(i, i + 50)}, n

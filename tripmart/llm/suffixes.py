@@ -7,11 +7,15 @@
    so copies of a frequent passage are spread over tasks. Neighbours from different documents that
    agree in KEY words are a candidate diagonal of two documents. Ends of partitions are compared in a
    second step.
-3. Diagonals are grouped per pair of documents and extended left and right on the whole word sequences.
+3. Neighbours by hash need not share the longest passage, nor does the order see the words before a
+   suffix. So where more than two kept suffixes agree in KEY words, each of their windows of LEAST
+   words that starts up to WINDOW - 1 words before is hashed whole, and the windows are sorted and
+   compared with their neighbours in the same way: every window that two documents share has a link.
+4. Diagonals are grouped per pair of documents and extended left and right on the whole word sequences.
    Runs of LEAST words and more are the result, for both documents.
 
-Every kept suffix is compared with its two neighbours, so a passage in thousands of documents costs two
-comparisons a document. Words are runs of characters other than 0x20 and 0x09-0x0D, in either case as
+Every kept suffix or window is compared with its two neighbours, so a passage in thousands of documents
+costs two comparisons a document and window, and not all pairs of them are named. Words are runs of characters other than 0x20 and 0x09-0x0D, in either case as
 they are.
 
 Defined results: null and short texts repeat nothing. Repeats within one document are not reported.
@@ -123,6 +127,60 @@ def _adjacent(head, doc, at, upto: int):
     return starts, out
 
 
+class _Frequent:
+    """Rows of a sorted partition whose head stands in three rows or more, or at an end of the partition."""
+
+    def __init__(self):
+        self.rows, self.told, self.first = None, None, None
+
+    def of(self, head, doc, at):
+        import numpy as np
+
+        if self.rows is None:
+            self.first, rows, told = head[0], (head, doc, at), np.zeros(len(head), bool)
+        else:
+            rows = tuple(np.concatenate([h, n]) for h, n in zip(self.rows, (head, doc, at)))
+            told = np.concatenate([self.told, np.zeros(len(head), bool)])
+        often = rows[0] == self.first
+        # Heads are sorted: equal ones two rows apart have an equal one between
+        same = rows[0][2:] == rows[0][:-2]
+        for k in range(3):
+            often[k : k + len(same)] |= same
+        new = often & ~told
+        self.rows, self.told = tuple(r[-2:] for r in rows), (often | told)[-2:]
+        return rows[1][new], rows[2][new]
+
+    def last(self):
+        new = (self.rows[0] == self.rows[0][-1]) & ~self.told
+        return self.rows[1][new], self.rows[2][new]
+
+
+def _windows(batches, least: int):
+    """The windows of `least` words around frequent suffixes: hash, document and first word."""
+    import numpy as np
+    import pyarrow as pa
+
+    np.seterr(over="ignore")
+    step = np.uint64(0xA24BAED4963EE407)
+    for batch in batches:
+        texts, places = batch.column(batch.schema.get_field_index("text")), batch.column(batch.schema.get_field_index("ats"))
+        docs = batch.column(batch.schema.get_field_index("doc")).to_numpy()
+        for start, end in slices(texts):
+            hashes, _, _, firsts = word_hashes(*string_bytes(texts.slice(start, end - start)), lower=False)
+            out: tuple[list, ...] = ([], [], [])
+            for row in range(end - start):
+                own = hashes[firsts[row] : firsts[row + 1]]
+                ats = places[start + row].values.to_numpy(zero_copy_only=False)
+                begins = np.unique((ats[:, None] - np.arange(WINDOW)).ravel())
+                begins = begins[(begins >= 0) & (begins + least <= len(own))]
+                key = np.zeros(len(begins), np.uint64)
+                for k in range(least):
+                    key = mix(key * step + own[begins + k])
+                for column, value in zip(out, (key.view(np.int64), np.full(len(begins), docs[start + row]), begins.astype(np.int32))):
+                    column.append(value)
+            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(x)) for x in out], names=["head", "doc", "at"])
+
+
 def _pair_batch(found, extra=None):
     import numpy as np
     import pyarrow as pa
@@ -134,8 +192,11 @@ def _pair_batch(found, extra=None):
     return [pa.array(a), pa.array(b), pa.array(d)]
 
 
-def _neighbours(batches):
-    """Diagonals of a sorted partition, and its first and last block for the seams."""
+def _neighbours(batches, often: bool):
+    """Diagonals of a sorted partition, and its first and last block for the seams.
+
+    With `often` also the rows of frequent heads, as (doc, at) without seam and pair.
+    """
     import numpy as np
     import pyarrow as pa
     from pyspark import TaskContext
@@ -145,6 +206,10 @@ def _neighbours(batches):
     kinds = [pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.int32(), pa.int64(), pa.int64(), pa.int32()]
     held = tuple(np.empty(0, t) for t in (np.int64, np.int64, np.int32))
     first = None
+    frequent = _Frequent()
+
+    def suffixes(doc, at):
+        return pa.RecordBatch.from_arrays([*[pa.nulls(len(doc), k) for k in kinds[:6]], pa.array(doc), pa.array(at)], names=names)
 
     def pairs(found):
         cells = _pair_batch(found)
@@ -161,6 +226,8 @@ def _neighbours(batches):
         if not len(batch):
             continue
         new = [batch.column(batch.schema.get_field_index(c)).to_numpy() for c in ("head", "doc", "at")]
+        if often:
+            yield suffixes(*frequent.of(*new))
         rows = tuple(np.concatenate([h, n]) for h, n in zip(held, new))
         cut = np.flatnonzero((rows[0][1:] != rows[0][:-1]) | (rows[1][1:] != rows[1][:-1])) + 1
         blocks = len(cut) + 1
@@ -171,6 +238,8 @@ def _neighbours(batches):
             yield pairs(found)
         held = tuple(r[starts[max(0, blocks - 2)] :] for r in rows)
     if len(held[0]):
+        if often:
+            yield suffixes(*frequent.last())
         starts, found = _adjacent(*held, upto=2 if len(np.unique(held[0])) > 1 or len(np.unique(held[1])) > 1 else 1)
         if found:
             yield pairs(found)
@@ -233,24 +302,42 @@ def _extended(batches, least: int):
         yield pa.RecordBatch.from_arrays([pa.array(x, k) for x, k in zip(out, kinds)], names=names)
 
 
+def _sorted_neighbours(rows: DataFrame, order: list[str], stored: Stored, often: bool) -> DataFrame:
+    return stored.put(
+        rows.repartitionByRange(*order).sortWithinPartitions(*order).mapInArrow(
+            partial(_neighbours, often=often), f"{_PAIR}, seam int, side int, head bigint, doc bigint, at int"
+        )
+    )
+
+
+def _pairs(neighbours: DataFrame) -> DataFrame:
+    """Diagonals within partitions and across their ends."""
+    ends = neighbours.where("seam IS NOT NULL").repartition("seam").sortWithinPartitions("seam", "side")
+    return neighbours.where("a IS NOT NULL").select("a", "b", "diagonal").unionByName(ends.mapInArrow(_seams, _PAIR))
+
+
 def repeated_passages(docs: DataFrame, least: int = LEAST) -> DataFrame:
     """Rows (doc_id, start_word, end_word, n_words, other_doc_id, other_start_word), words from 0, end exclusive."""
     stored = Stored(docs.sparkSession)
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     rows = rows.where("text IS NOT NULL").withColumn("doc", F.xxhash64("doc_id", "text"))
     kept = stored.put(rows.select("doc", "text").mapInArrow(partial(_suffixes, least=least), "head bigint, tail int, doc bigint, at int"))
-    order = ["head", "tail", "doc", "at"]
-    neighbours = stored.put(
-        kept.repartitionByRange(*order).sortWithinPartitions(*order).mapInArrow(
-            _neighbours, f"{_PAIR}, seam int, side int, head bigint, doc bigint, at int"
-        )
-    )
+    neighbours = _sorted_neighbours(kept, ["head", "tail", "doc", "at"], stored, often=True)
     stored.drop(kept)
-    ends = neighbours.where("seam IS NOT NULL").repartition("seam").sortWithinPartitions("seam", "side")
-    pairs = neighbours.where("a IS NOT NULL").select("a", "b", "diagonal").unionByName(ends.mapInArrow(_seams, _PAIR))
+    pairs = _pairs(neighbours)
+    # The pairs' documents, and the places of frequent suffixes in a document
+    frequent = neighbours.where("a IS NULL AND seam IS NULL").select(F.col("doc").alias("_doc"), F.col("at").alias("_at"))
+    wanted = frequent
+    for side in ("a", "b"):
+        wanted = wanted.unionByName(pairs.select(F.col(side).alias("_doc"), F.lit(None).cast("int").alias("_at")))
+    wanted = wanted.groupBy("_doc").agg(F.collect_set("_at").alias("ats"))
+    texts = stored.put(rows.join(wanted, F.col("doc") == F.col("_doc")).drop("_doc").dropDuplicates(["doc"]))
+    windows = texts.where(F.size("ats") > 0).select("doc", "text", "ats")
+    windows = stored.put(windows.mapInArrow(partial(_windows, least=least), "head bigint, doc bigint, at int"))
+    same = _sorted_neighbours(windows, ["head", "doc", "at"], stored, often=False)
+    stored.drop(windows)
+    pairs = pairs.unionByName(_pairs(same))
     pairs = stored.put(pairs.groupBy("a", "b").agg(F.collect_set("diagonal").alias("diagonals")))
-    wanted = pairs.select(F.col("a").alias("_doc")).unionByName(pairs.select(F.col("b").alias("_doc"))).distinct()
-    texts = stored.put(rows.join(wanted, F.col("doc") == F.col("_doc"), "left_semi").dropDuplicates(["doc"]))
     left = texts.select(F.col("doc").alias("a"), F.col("text").alias("a_text"))
     right = texts.select(F.col("doc").alias("b"), F.col("text").alias("b_text"))
     runs = pairs.join(left, "a").join(right, "b").select("a", "b", "diagonals", "a_text", "b_text").mapInArrow(
