@@ -148,6 +148,19 @@ def test_vectors_against_all_pairs(spark):
     assert [found[i].component_id for i in range(len(rows))] == own.tolist()
 
 
+def test_vectors_of_one_direction(spark):
+    """Cosine 0.8 on average, and pairs at 0.931 that nothing else links."""
+    draw = np.random.default_rng(8)
+    unit = lambda x: x / np.linalg.norm(x, axis=-1, keepdims=True)
+    base = unit(np.sqrt(0.8) * unit(draw.standard_normal(64)) + np.sqrt(0.2) * unit(draw.standard_normal((9000, 64))))
+    off = draw.standard_normal((300, 64))
+    off = unit(off - (off * base[:300]).sum(axis=1)[:, None] * base[:300])
+    x = np.concatenate([base, 0.931 * base[:300] + np.sqrt(1 - 0.931**2) * off])
+    near = x @ x.T >= embeddings.COSINE
+    found = {r.vec_id: r.n_links for r in embeddings.near_vectors(vectors(spark, [(n, v, 1, None) for n, v in enumerate(x.tolist())])).collect()}
+    assert [found[n] for n in range(len(x))] == (near.sum(axis=1) - 1).tolist()
+
+
 def test_vectors_odd_rows(spark):
     nan, one = float("nan"), [1.0, 0.0]
     rows = [(0, None, 1, ""), (1, [], 1, ""), (2, [0.0, 0.0], 1, ""), (3, [nan, 1.0], 1, ""), (4, one, None, ""), (5, one, None, ""),
