@@ -52,21 +52,33 @@ def source_rates(docs: DataFrame, targets: dict[str, float] | None = None, tempe
     return every.select("source", "volume", target.alias("target"), (target * F.col("_total") / F.col("volume")).alias("rate"))
 
 
+#: exp(-rate) is 0 in double precision for rates over about 745.
+LARGE_RATE = 700.0
+
+
+def first_step(rate: Column) -> Column:
+    """Where `poisson_steps` starts: 0, or 10 deviations below a large rate."""
+    return F.when(rate <= LARGE_RATE, F.lit(0)).otherwise(F.floor(rate - 10 * F.sqrt(rate) - 30)).cast("int")
+
+
 def poisson_steps(rate: Column) -> Column:
-    """The distribution function at 0, 1, 2, ... up to where less than 2**-52 is left."""
+    """The distribution function at `first_step` and on, up to where less than 2**-52 is left.
+
+    For a large rate the terms are relative to the first one and are divided by their sum.
+    """
     most = F.ceil(rate + 10 * F.sqrt(rate) + 30).cast("int")
-    start = F.struct(
-        F.exp(-rate).alias("p"), F.exp(-rate).alias("c"), F.array(F.exp(-rate)).alias("all")
-    )
+    large = rate > LARGE_RATE
+    one = F.when(large, F.lit(1.0)).otherwise(F.exp(-rate))
+    start = F.struct(one.alias("p"), one.alias("c"), F.array(one).alias("all"))
     return F.aggregate(
-        F.sequence(F.lit(1), most),
+        F.sequence(first_step(rate) + 1, most),
         start,
         lambda s, k: F.struct(
             (s["p"] * rate / k).alias("p"),
             (s["c"] + s["p"] * rate / k).alias("c"),
             F.concat(s["all"], F.array(s["c"] + s["p"] * rate / k)).alias("all"),
         ),
-        lambda s: s["all"],
+        lambda s: F.when(large, F.transform(s["all"], lambda c: c / s["c"])).otherwise(s["all"]),
     )
 
 
@@ -75,11 +87,11 @@ def mix(
 ) -> DataFrame:
     """All columns of `docs` and `_replica` (from 0) and `_order`, in the order of `_order`."""
     rates = source_rates(docs, targets, temperature)
-    steps = broadcast_if_small(rates.select(F.col("source").alias("_source"), poisson_steps(F.col("rate")).alias("_steps")))
+    steps = broadcast_if_small(rates.select(F.col("source").alias("_source"), first_step(F.col("rate")).alias("_least"), poisson_steps(F.col("rate")).alias("_steps")))
     joined = docs.join(steps, F.col("source").eqNullSafe(F.col("_source")), "left")
     draw = uniform(F.lit("count"), F.lit(seed), F.col("doc_id"))
     # A source of no volume holds empty documents only: they pass once
-    times = F.when(F.col("_steps").isNull(), F.lit(1)).otherwise(F.size(F.filter("_steps", lambda c: c <= draw)))
+    times = F.when(F.col("_steps").isNull(), F.lit(1)).otherwise(F.col("_least") + F.size(F.filter("_steps", lambda c: c <= draw)))
     copies = joined.withColumn("_times", times).where("_times > 0").withColumn(
         "_replica", F.explode(F.sequence(F.lit(0), F.col("_times") - 1))
     )
