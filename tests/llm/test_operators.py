@@ -84,6 +84,13 @@ def test_digest_index_is_kept(spark, tmp_path):
     assert again.rows().count() == 3
 
 
+def test_digest_index_counts_later_batches(spark, tmp_path):
+    index = exact_dedup.DigestIndex(spark, f"file://{tmp_path}/index", buckets=4)
+    for texts, ids in ((["a", "b", "n"], [1, 2, None]), (["b", "b", "c", "n"], [9, 8, 10, 11])):
+        rows = exact_dedup.decide(frame(spark, texts, ids), index).collect()
+    assert {(r.doc_id, r.keep_id, r.group_size, r.kept) for r in rows} == {(9, 2, 3, False), (8, 2, 3, False), (10, 10, 1, True), (11, None, 2, False)}
+
+
 @pytest.mark.parametrize("width", [2, 5])
 def test_minhash_against_all_pairs(copies, width):
     sets = {}

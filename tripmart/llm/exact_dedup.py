@@ -1,9 +1,9 @@
 """Exact deduplication against a stored digest index: SQL functions only.
 
-The index holds one row per distinct text (digest, keep_id, group_size), bucketed by digest and
+The index holds one row per distinct text of a batch (digest, keep_id, group_size), bucketed by digest and
 sorted by it within a bucket. A batch is reduced to one row per digest before its first shuffle, so
-a text that a third of all rows share is one row per task. New digests are found by a sort-merge
-anti-join, which moves the batch's digests only, and are appended.
+a text that a third of all rows share is one row per task. Known digests are found by a sort-merge
+join, which moves the batch's digests only; every digest of the batch is appended.
 
 A batch never changes what earlier batches decided: a digest the index has keeps its document. Only
 its bookkeeping row of the new batch is added: an index entry is the sum of its rows.
@@ -47,10 +47,11 @@ class DigestIndex:
         )
 
     def rows(self) -> DataFrame:
-        return self.spark.table(self.table).select("digest", "keep_id", "group_size")
+        """One entry per digest. All rows of a digest have its first batch's keep_id."""
+        return self.spark.table(self.table).groupBy("digest").agg(F.max("keep_id").alias("keep_id"), F.sum("group_size").alias("group_size"))
 
     def append(self, docs: DataFrame) -> DataFrame:
-        """Add the texts of `docs` (doc_id, text) that the index lacks; returns the batch's entries.
+        """Add a row per text of `docs` (doc_id, text), known or not; returns the entries.
 
         The entries are (digest, keep_id, group_size) over the whole index after the append.
         """
@@ -59,8 +60,9 @@ class DigestIndex:
             .groupBy("digest")
             .agg(F.max("doc_id").alias("keep_id"), F.count(F.lit(1)).alias("group_size"))
         )
-        known = self.rows()
-        new = batch.hint("merge").join(known, batch["digest"] == known["digest"], "left_anti")
+        known = self.rows().select(F.col("digest").alias("_known"), F.col("keep_id").alias("_keep"))
+        keep = F.when(F.col("_known").isNull(), F.col("keep_id")).otherwise(F.col("_keep"))
+        new = batch.hint("merge").join(known, batch["digest"] == F.col("_known"), "left").select("digest", keep.alias("keep_id"), "group_size")
         # One file per bucket and append
         (
             new.withColumn("batch", F.lit(uuid.uuid4().hex))
@@ -78,7 +80,8 @@ class DigestIndex:
 def decide(docs: DataFrame, index: DigestIndex) -> DataFrame:
     """Add `docs` to the index and return per row doc_id, keep_id, group_size, kept, text_sha256.
 
-    With an index that already has a text, keep_id and group_size are of the batch that brought it.
+    With an index that already has a text, keep_id is of the batch that brought it and group_size
+    counts all batches.
     Rows of hot digests meet their entry in a broadcast join of at most 1 / HOT_SHARE entries; the
     others are joined on the digest.
     """
