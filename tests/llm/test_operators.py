@@ -325,6 +325,14 @@ def test_language(spark, odd, empty):
     assert language.identify(odd).count() == len(ODD) + 2 and language.identify(empty).count() == 0
 
 
+def test_language_sample_of_copies(spark):
+    """A text by whose hash alone all its copies would be drawn."""
+    share = F.pmod(F.xxhash64(F.concat(F.lit("text "), F.col("id"))), F.lit(1 << 30)) / F.lit(float(1 << 30))
+    hot = spark.range(1000).where(share * 12000 < language.SAMPLE).first().id
+    docs = spark.range(12000).select(F.col("id").alias("doc_id"), F.lit(f"text {hot}").alias("text"), F.lit("en").alias("lang"))
+    assert 800 < language.sample_of(docs).count() < 1200
+
+
 def test_suffixes_against_all_windows(spark, odd, empty):
     passage, other = prose(1000, 70), prose(1001, 140)
     texts = [prose(n, 300) for n in range(40)]

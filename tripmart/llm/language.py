@@ -2,8 +2,8 @@
 
 Characters and runs of two and three of whole lower-cased texts are hashed into BUCKETS. Document
 frequencies come from all documents learned from: one vector a task. A language has up to CENTROIDS
-centroids, found by spherical k-means over about SAMPLE of its documents (chosen by a hash of their
-texts; this is the only sample, and its size is the parameter). A text gets the language of the centroid
+centroids, found by spherical k-means over about SAMPLE of its documents (chosen by a hash of text
+and doc_id, so copies of a text are drawn one by one; this is the only sample, and its size is the parameter). A text gets the language of the centroid
 of largest cosine. `rejected` marks texts farther from that centroid than nearly all of its own.
 
 Defined results: a text that is null or has no letter is `und` with score 0 and rejected. With nothing
@@ -102,9 +102,17 @@ class Centroids:
     floors: np.ndarray
 
 
+def sample_of(learned: DataFrame) -> DataFrame:
+    """About SAMPLE rows (lang, text) a language of rows (doc_id, text, lang)."""
+    # A row per language; copied to the tasks after a check of its size, so texts are not moved
+    sizes = broadcast_if_small(learned.groupBy("lang").agg(F.count(F.lit(1)).alias("_n")).select(F.col("lang").alias("_lang"), "_n"))
+    drawn = F.pmod(F.xxhash64("text", "doc_id"), F.lit(1 << 30)) / F.lit(float(1 << 30))
+    return learned.join(sizes, F.col("lang") == F.col("_lang")).where(drawn * F.col("_n") < SAMPLE).select("lang", "text")
+
+
 def fit(learned: DataFrame) -> Centroids | None:
-    """From rows (text, lang) with known languages. The driver gets the centroids and one vector of counts."""
-    learned = learned.select(F.col("text").cast("string").alias("text"), F.col("lang").alias("lang")).where("lang IS NOT NULL")
+    """From rows (doc_id, text, lang) with known languages. The driver gets the centroids and one vector of counts."""
+    learned = learned.select("doc_id", F.col("text").cast("string").alias("text"), F.col("lang").alias("lang")).where("lang IS NOT NULL")
     summed = learned.select("text").mapInArrow(_frequencies, "bucket int, n bigint").groupBy("bucket").agg(F.sum("n")).collect()
     if not summed:
         return None
@@ -112,10 +120,7 @@ def fit(learned: DataFrame) -> Centroids | None:
     for bucket, n in summed:
         found[bucket] = n
     weights = np.log((1 + found[-1]) / (1 + found[:-1])) + 1
-    # A row per language; copied to the tasks after a check of its size, so texts are not moved
-    sizes = broadcast_if_small(learned.groupBy("lang").agg(F.count(F.lit(1)).alias("_n")).select(F.col("lang").alias("_lang"), "_n"))
-    drawn = F.pmod(F.xxhash64("text"), F.lit(1 << 30)) / F.lit(float(1 << 30))
-    sample = learned.join(sizes, F.col("lang") == F.col("_lang")).where(drawn * F.col("_n") < SAMPLE).select("lang", "text")
+    sample = sample_of(learned)
     vectors = sample.mapInArrow(partial(_sampled, weights=weights), "lang string, x array<float>")
     rows = vectors.groupBy("lang").applyInArrow(_clustered, "lang string, centre array<double>, floor double").collect()
     rows = sorted(rows, key=lambda r: (r["lang"], r["centre"]))
