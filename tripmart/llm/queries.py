@@ -6,7 +6,21 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tripmart.llm import embeddings, exact_dedup, language, minhash, mixing, packing, quality, secrets, suffixes, token_files
+from tripmart.llm import (
+    centroids,
+    embeddings,
+    exact_dedup,
+    language,
+    minhash,
+    mixing,
+    packing,
+    pieces,
+    quality,
+    secrets,
+    spelling,
+    suffixes,
+    token_files,
+)
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -181,3 +195,18 @@ def op9(spark, sf_dir):
 @query("op10_suffix_dedup")
 def op10(spark, sf_dir):
     return suffixes.repeated_passages(table(spark, sf_dir, "documents"))
+
+
+@query("op11_spelling_variants", spelling.ORACLE)
+def op11(spark, sf_dir):
+    return spelling.spelling_variants(table(spark, sf_dir, "documents"))
+
+
+@query("op12_sentencepiece")
+def op12(spark, sf_dir):
+    return pieces.piece_report(table(spark, sf_dir, "documents"))
+
+
+@query("op13_centroid_clustering", centroids.oracle())
+def op13(spark, sf_dir):
+    return centroids.cluster_report(table(spark, sf_dir, "embeddings"))
