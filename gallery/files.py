@@ -15,7 +15,7 @@ from tripmart.plans import registry
 from tripmart.plans.marts import stack
 from tripmart.sources import polygons, raw, weather
 from tripmart.sources.lake import read_lake
-from tripmart.sources.schemas import FINAL, HOURLY_VARIABLES, STAGING
+from tripmart.sources.schemas import FINAL, HOURLY_VARIABLES, RAW, STAGING
 from tripmart.workspace import new_workspace
 
 
@@ -40,17 +40,7 @@ def read_whole(spark, sf_dir):
     return _by_month(read_lake(spark, lake.location("stg_yellow_taxi"), STAGING["yellow_taxi"]))
 
 
-@query(
-    "s02_union_by_name",
-    """SELECT partition_date, count(*) AS rows, round(sum(fare_amount), 6) AS fares,
-        count(Airport_fee) AS airport_fees, sum(passenger_count) AS passengers,
-        count(CASE WHEN partition_date < DATE '2026-01-01' THEN congestion_surcharge END)
-            AS congestion_surcharges,
-        count(CASE WHEN partition_date >= DATE '2026-01-01' THEN 1 END) AS cbd_fees,
-        sum(PULocationID)::BIGINT AS zones FROM raw_yellow GROUP BY partition_date""",
-)
-def drifting_months(spark, sf_dir):
-    """From 2026 on the files spell a column otherwise, change types, lose one, gain one."""
+def _drifting_lake(spark, sf_dir):
     base = new_workspace(spark)
     rows = fixture.raw_trips(spark, sf_dir, "yellow_taxi")
     location = under(base, raw_path("yellow_taxi"))
@@ -68,6 +58,21 @@ def drifting_months(spark, sf_dir):
     )
     sinks.write_lake(old, location, regroup=True)
     new.hint("rebalance", F.col(PARTITION)).write.mode("append").partitionBy(PARTITION).parquet(location)
+    return base
+
+
+@query(
+    "s02_union_by_name",
+    """SELECT partition_date, count(*) AS rows, round(sum(fare_amount), 6) AS fares,
+        count(Airport_fee) AS airport_fees, sum(passenger_count) AS passengers,
+        count(CASE WHEN partition_date < DATE '2026-01-01' THEN congestion_surcharge END)
+            AS congestion_surcharges,
+        count(CASE WHEN partition_date >= DATE '2026-01-01' THEN 1 END) AS cbd_fees,
+        sum(PULocationID)::BIGINT AS zones FROM raw_yellow GROUP BY partition_date""",
+)
+def drifting_months(spark, sf_dir):
+    """From 2026 on the files spell a column otherwise, change types, lose one, gain one."""
+    base = _drifting_lake(spark, sf_dir)
     united = raw.read_raw_trips(spark, base, "yellow_taxi")
     return united.groupBy(PARTITION).agg(
         F.count(F.lit(1)).alias("rows"),
@@ -80,6 +85,69 @@ def drifting_months(spark, sf_dir):
     )
 
 
+def _nanos_writer(location: str):
+    """A task function that writes its rows as Parquet files with 64-bit nanosecond times, by month."""
+
+    def write(batches):
+        import pyarrow as pa
+        import pyarrow.parquet as pq
+        from pyarrow import fs
+        from pyspark import TaskContext
+
+        local = location.removeprefix("file:")
+        files, root = (fs.LocalFileSystem(), local) if local.startswith("/") else fs.FileSystem.from_uri(location)
+        task = TaskContext.get().partitionId()
+        for number, batch in enumerate(batches):
+            rows = pa.Table.from_batches([batch])
+            for month in rows["partition_date"].unique():
+                part = rows.filter(pa.compute.equal(rows["partition_date"], month)).drop_columns(["partition_date"])
+                for at, field in enumerate(part.schema):
+                    if pa.types.is_timestamp(field.type):
+                        part = part.set_column(at, field.name, part.column(at).cast(pa.timestamp("ns")))
+                folder = f"{root}/partition_date={month}"
+                files.create_dir(folder)
+                pq.write_table(part, f"{folder}/part-{task}-{number}.parquet", filesystem=files)
+            yield pa.RecordBatch.from_pydict({"rows": [batch.num_rows]})
+
+    return write
+
+
+def _nanosecond_lake(spark, sf_dir):
+    """Months to 2025 hold microseconds, later ones nanoseconds, and one of these holds both."""
+    base = new_workspace(spark)
+    rows = fixture.raw_trips(spark, sf_dir, "yellow_taxi")
+    location = under(base, raw_path("yellow_taxi"))
+    in_both = F.col(PARTITION) == F.lit("2026-02-01").cast("date")
+    micros = (F.col(PARTITION) < F.lit("2026-01-01").cast("date")) | (in_both & (F.col("PULocationID") % 2 == 0))
+    sinks.write_lake(rows.where(micros), location, regroup=True)
+    later = rows.where(~F.coalesce(micros, F.lit(False)))
+    written = later.repartition(PARTITION).mapInArrow(_nanos_writer(location), "rows bigint")
+    written.agg(F.sum("rows")).collect()
+    return base
+
+
+def _spans(df):
+    return df.groupBy(PARTITION).agg(
+        F.count(F.lit(1)).alias("rows"),
+        F.min("tpep_pickup_datetime").alias("first_pickup"),
+        F.max("tpep_dropoff_datetime").alias("last_dropoff"),
+        F.count("tpep_dropoff_datetime").alias("dropoffs"),
+        F.sum(F.expr("timestampdiff(SECOND, tpep_pickup_datetime, tpep_dropoff_datetime)")).alias("seconds"),
+    )
+
+
+_SPANS_SQL = """SELECT partition_date, count(*) AS rows, min(tpep_pickup_datetime) AS first_pickup,
+    max(tpep_dropoff_datetime) AS last_dropoff, count(tpep_dropoff_datetime) AS dropoffs,
+    sum(date_diff('second', tpep_pickup_datetime, tpep_dropoff_datetime))::BIGINT AS seconds
+    FROM raw_yellow GROUP BY partition_date"""
+
+
+@query("s02_nanosecond_times", _SPANS_SQL)
+def nanosecond_times(spark, sf_dir):
+    """Files with nanosecond times beside files with microseconds, also within a month."""
+    return _spans(raw.read_raw_trips(spark, _nanosecond_lake(spark, sf_dir), "yellow_taxi"))
+
+
 @query("s03_json_lines", "SELECT * EXCLUDE (t) FROM raw_weather")
 def json_lines(spark, sf_dir):
     return raw.read_raw_weather(spark, stored.landed(spark, sf_dir))
@@ -306,6 +374,55 @@ def recreate(spark, sf_dir):
     )
 
 
+_NUMBERS = (
+    "VendorID, passenger_count, trip_distance, RatecodeID, PULocationID, DOLocationID, payment_type, fare_amount, extra, "
+    "mta_tax, tip_amount, tolls_amount, improvement_surcharge, total_amount, airport_fee"
+).split(", ")
+_SUMS_SQL = ", ".join(f"round(sum({c}), 6)::DOUBLE AS sum_{c.lower()}" for c in _NUMBERS)
+
+
+@query(
+    "w10_drifting_months",
+    f"""SELECT partition_date, count(*) AS rows, {_SUMS_SQL},
+        count(CASE WHEN partition_date < DATE '2026-01-01' THEN congestion_surcharge END) AS surcharges,
+        count(CASE WHEN partition_date >= DATE '2026-01-01' THEN 1 END) AS cbd_fees,
+        min(tpep_pickup_datetime) AS first_pickup, count(store_and_fwd_flag) AS flags FROM raw_yellow GROUP BY partition_date""",
+)
+def drifting_table(spark, sf_dir):
+    """A lake whose months drift, under one name: registered with early months, then brought in step."""
+    base, database = _drifting_lake(spark, sf_dir), _database()
+    location = under(base, raw_path("yellow_taxi"))
+    catalog.repair_layouts(spark, database, "yellow_taxi", location, RAW["yellow_taxi"])
+    rows = spark.table(f"{database}.yellow_taxi")
+    result = rows.groupBy(PARTITION).agg(
+        F.count(F.lit(1)).alias("rows"),
+        *[to_six(F.sum(c)).cast("double").alias(f"sum_{c.lower()}") for c in _NUMBERS],
+        F.count("congestion_surcharge").alias("surcharges"),
+        F.count("cbd_congestion_fee").alias("cbd_fees"),
+        F.min("tpep_pickup_datetime").alias("first_pickup"),
+        F.count("store_and_fwd_flag").alias("flags"),
+    )
+    kept = new_workspace(spark)
+    result.write.parquet(kept)  # so that the database can go
+    spark.sql(f"DROP DATABASE {database} CASCADE")
+    return spark.read.schema(result.schema).parquet(kept)
+
+
+@query("w10_nanosecond_table", _SPANS_SQL)
+def nanosecond_table(spark, sf_dir):
+    """Registered while a month is missing, then in step with the files, by SQL over the view."""
+    location, database = under(_nanosecond_lake(spark, sf_dir), raw_path("yellow_taxi")), _database()
+    early = new_workspace(spark)
+    sinks.write_lake(read_lake(spark, location, f"{RAW['yellow_taxi']}, {PARTITION} date", ["2025-01-01"]), early)
+    catalog.repair_layouts(spark, database, "yellow_taxi", early, RAW["yellow_taxi"])
+    catalog.repair_layouts(spark, database, "yellow_taxi", location, RAW["yellow_taxi"])
+    result = _spans(spark.table(f"{database}.yellow_taxi"))
+    kept = new_workspace(spark)
+    result.write.parquet(kept)
+    spark.sql(f"DROP DATABASE {database} CASCADE")
+    return spark.read.schema(result.schema).parquet(kept)
+
+
 _LAYER_SQL = " UNION ALL ".join(
     f"SELECT '{layer}' AS layer, '{table}' AS table_name, count(*) AS rows FROM {source}"
     for layer, table, source in (

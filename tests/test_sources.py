@@ -3,11 +3,13 @@
 from __future__ import annotations
 
 import json
+import os
 from datetime import date, datetime
 
 import pytest
 from pyspark.sql import functions as F
 
+from tripmart.operators import catalog
 from tripmart.paths import raw_path, staging_path, under
 from tripmart.plans.staging import stage_zone_lookup
 from tripmart.sources import polygons, raw, weather
@@ -217,3 +219,109 @@ def test_broken_weather_line_fails(spark, tmp_path):
     (folder / "a.json").write_text('{"time": "2025-01-01T00:00", "weath\n')
     with pytest.raises(Exception, match="(?i)malformed"):
         raw.read_raw_weather(spark, str(tmp_path)).collect()
+
+
+def write_nanos(base, table: str, month: str, name: str, kind: str, **columns):
+    """A Parquet file whose time columns have the given unit."""
+    import pyarrow as pa
+    import pyarrow.parquet as pq
+
+    folder = f"{base}/raw/{table}/partition_date={month}"
+    os.makedirs(folder, exist_ok=True)
+    arrays = {c: pa.array(v, pa.timestamp(kind) if isinstance(v[0], datetime) else None) for c, v in columns.items()}
+    pq.write_table(pa.table(arrays), f"{folder}/{name}.parquet")
+
+
+@pytest.fixture
+def nanosecond_lake(tmp_path):
+    base, early, late = str(tmp_path), datetime(1969, 12, 31, 23, 59, 59, 7), datetime(2025, 3, 9, 2, 30)
+    times = {"tpep_pickup_datetime": [late, None], "Extra_time": [early, late]}
+    write_nanos(base, "yellow_taxi", "2025-01-01", "a", "us", VendorID=[1, 2], **times)
+    write_nanos(base, "yellow_taxi", "2025-02-01", "a", "ns", VendorID=[3, 4], **times)
+    write_nanos(base, "yellow_taxi", "2025-03-01", "a", "us", VendorID=[5, 6], **times)
+    write_nanos(base, "yellow_taxi", "2025-03-01", "b", "ns", VendorID=[7.0, 8.0], **times)
+    return base
+
+
+def test_nanosecond_times(spark, nanosecond_lake):
+    """A month of nanoseconds, and one that holds both units and two kinds of numbers."""
+    df = raw.read_raw_trips(spark, nanosecond_lake, "yellow_taxi")
+    assert dict(df.dtypes)["Extra_time"] == "timestamp_ntz"
+    rows = df.orderBy("VendorID").collect()
+    assert [r["VendorID"] for r in rows] == [1, 2, 3, 4, 5, 6, 7, 8]
+    assert {r["Extra_time"] for r in rows[::2]} == {datetime(1969, 12, 31, 23, 59, 59, 7)}
+    assert {(r["tpep_pickup_datetime"], r["Extra_time"]) for r in rows[1::2]} == {(None, datetime(2025, 3, 9, 2, 30))}
+
+
+def test_a_column_of_whole_numbers_is_no_time(spark, tmp_path):
+    """Nanoseconds in one month and plain whole numbers of the same name in another do not share a scan."""
+    base = str(tmp_path)
+    write_nanos(base, "green_taxi", "2025-01-01", "a", "ns", lpep_pickup_datetime=[datetime(2025, 1, 1)], x=[1])
+    write_nanos(base, "green_taxi", "2025-02-01", "a", "ns", lpep_pickup_datetime=[datetime(2025, 2, 1)], x=[datetime(2025, 1, 2)])
+    groups = raw.layout_groups(spark, f"{base}/raw/green_taxi")
+    assert len(groups) == 2
+    rows = raw.read_raw_trips(spark, base, "green_taxi").orderBy("partition_date").collect()
+    assert [r["x"] for r in rows] == ["1", "2025-01-02 00:00:00"]
+
+
+def test_nanosecond_times_are_staged(spark, tmp_path):
+    """The whole of a service in nanoseconds gives what microseconds give."""
+    import pyarrow as pa
+    import pyarrow.parquet as pq
+
+    from tests import lake as small
+
+    micros, nanos = str(tmp_path / "us"), str(tmp_path / "ns")
+    built = []
+    for base in (micros, nanos):
+        lake = small.make_lake(spark, base, weather_days=0)
+        if base == nanos:
+            for path in (tmp_path / "ns/raw/yellow_taxi").rglob("*.parquet"):
+                table = pq.read_table(path, partitioning=None)
+                wanted = [f.with_type(pa.timestamp("ns")) if pa.types.is_timestamp(f.type) else f for f in table.schema]
+                pq.write_table(table.cast(pa.schema(wanted)), path)
+                (path.parent / f".{path.name}.crc").unlink(missing_ok=True)
+        lake.build("stg_taxi_zone_lookup")
+        lake.build("stg_yellow_taxi")
+        built.append(sorted(map(tuple, lake.read("stg_yellow_taxi").collect()), key=str))
+    assert built[0] == built[1] and len(built[0]) == 3 * small.ROWS
+
+
+def test_one_view_over_drifting_months(spark, nanosecond_lake, tmp_path):
+    """The view follows the files: months come and go, tables of vanished layouts go too."""
+    name = "views_of_drift"
+    location = f"{nanosecond_lake}/raw/yellow_taxi"
+
+    def rows():
+        spark.catalog.refreshTable(f"{name}.yellow_taxi")
+        return [r[0] for r in spark.table(f"{name}.yellow_taxi").orderBy("vendorid").select("vendorid").collect()]
+
+    try:
+        first = catalog.repair_layouts(spark, name, "yellow_taxi", location, raw.schemas.RAW["yellow_taxi"])
+        view = spark.table(f"{name}.yellow_taxi")
+        assert rows() == [1, 2, 3, 4, 5, 6, 7, 8] and dict(view.dtypes)["extra_time"] == "timestamp_ntz"
+        assert view.where("extra_time < '1970-01-01'").count() == 4
+        assert view.where("partition_date = date'2025-02-01'").count() == 2
+        # The same table later: a month less and one more, elsewhere
+        later, location = str(tmp_path / "later"), f"{tmp_path}/later/raw/yellow_taxi"
+        for month, unit, ids in (("2025-01-01", "us", [1, 2]), ("2025-02-01", "ns", [3, 4])):
+            write_nanos(later, "yellow_taxi", month, "a", unit, VendorID=ids, Extra_time=[datetime(2025, 1, 1)] * 2)
+        write_nanos(later, "yellow_taxi", "2025-04-01", "a", "ns", VendorID=[9])
+        second = catalog.repair_layouts(spark, name, "yellow_taxi", location, raw.schemas.RAW["yellow_taxi"])
+        assert rows() == [1, 2, 3, 4, 9] and len(second) < len(first)
+        assert catalog.repair_layouts(spark, name, "yellow_taxi", location, raw.schemas.RAW["yellow_taxi"]) == second
+        listed = {r["tableName"] for r in spark.sql(f"SHOW TABLES IN {name}").collect()}
+        assert listed == {"yellow_taxi", *second}
+    finally:
+        spark.sql(f"DROP DATABASE IF EXISTS {name} CASCADE")
+
+
+def test_a_quote_in_the_path(spark, tmp_path):
+    base = str(tmp_path / "it's")
+    write_nanos(base, "yellow_taxi", "2025-01-01", "a", "us", VendorID=[1])
+    try:
+        catalog.recreate_tables(spark, "quoted", {"plain": f"{base}/raw/yellow_taxi"})
+        catalog.repair_layouts(spark, "quoted", "view", f"{base}/raw/yellow_taxi")
+        assert spark.table("quoted.plain").count() == spark.table("quoted.view").count() == 1
+    finally:
+        spark.sql("DROP DATABASE IF EXISTS quoted CASCADE")

@@ -75,3 +75,9 @@ def sunday_first(ts: Column) -> Column:
 def monday_first(ts: Column) -> Column:
     """1 = Monday ... 7 = Sunday, as the dashboard counts."""
     return F.weekday(ts) + F.lit(1)
+
+
+def nanos_to_wall_clock(name: str) -> str:
+    """SQL for a count of nanoseconds since 1970 as a timestamp; what is below a microsecond is cut off."""
+    micros = f"(({name} - pmod({name}, 1000)) div 1000)"
+    return f"timestampadd(MICROSECOND, {micros}, TIMESTAMP_NTZ '1970-01-01 00:00:00')"

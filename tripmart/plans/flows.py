@@ -7,7 +7,7 @@ from datetime import date
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tripmart.operators.catalog import recreate_tables, repair_table
+from tripmart.operators.catalog import recreate_tables, repair_layouts, repair_table
 from tripmart.operators.checks import LOOKBACK, ChecksFailed, gate, run_checks, unreconciled
 from tripmart.operators.sinks import replace_file
 from tripmart.paths import FINAL, PARTITION, RAW, STAGING, parse_months, raw_path, staging_path
@@ -24,6 +24,7 @@ from tripmart.plans.registry import (
 )
 from tripmart.plans.staging import SERVICES
 from tripmart.plans.staleness import plan_months
+from tripmart.sources import schemas
 from tripmart.sources.lake import list_files, list_partitions, path_exists
 from tripmart.sources.polygons import zone_geometry
 
@@ -158,15 +159,14 @@ def build_zones(
 
 
 def register_raw(lake: Lake, database: str) -> None:
-    """Raw tables get the columns all their months have between them."""
+    """Raw tables with the columns all their months have between them; trips as views, since their types drift."""
     for table, path in layer_tables()[RAW].items():
-        recreate_tables(
-            lake.spark,
-            database,
-            {table: lake.source_location(path)},
-            file_format="json" if table == "weather" else "parquet",
-            schema=lake.read_raw(table).schema,
-        )
+        location = lake.source_location(path)
+        if table in schemas.RAW:
+            repair_layouts(lake.spark, database, table, location, schemas.RAW[table])
+        else:
+            how = {"file_format": "json", "schema": lake.read_raw(table).schema}
+            recreate_tables(lake.spark, database, {table: location}, **how)
 
 
 def months_between(first: date, last: date) -> list[str]:

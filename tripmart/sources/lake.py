@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-from concurrent.futures import ThreadPoolExecutor
 from datetime import date
 from functools import lru_cache
 
@@ -13,8 +12,6 @@ from pyspark.sql import types as T
 
 from tripmart.paths import PARTITION, parse_months
 
-LISTING_THREADS = 16
-
 
 def month_folders(location: str, months: list[str]) -> str:
     """A path pattern for the folders of some months; one that is not there is passed over."""
@@ -61,52 +58,39 @@ def _found(spark: SparkSession, pattern: str) -> list:
     return [row for row in rows if not row[0].startswith(("_", "."))]
 
 
-def _month_files(
-    spark: SparkSession, location: str, months: list[str] | None
-) -> list[tuple[date, list[tuple[str, int]]]]:
-    """Each month's files with their write times in milliseconds.
-
-    A listing of a folder already holds the write times, so the storage is asked once per folder,
-    several folders at a time, and never for a single file.
-    """
-    months = parse_months(months)
-    pattern = month_folders(location, months) if months else f"{location.rstrip('/')}/{PARTITION}=*"
-    folders = [(name.partition("=")[2], path) for name, path, _ in _found(spark, pattern)]
-
-    def files(folder: str) -> list[tuple[str, int]]:
-        return [(p, s.getModificationTime()) for _, p, s in _found(spark, f"{folder}/*") if s.isFile()]
-
-    with ThreadPoolExecutor(LISTING_THREADS) as pool:
-        listed = list(pool.map(files, [path for _, path in folders]))
-    return [(date.fromisoformat(day), held) for (day, _), held in zip(folders, listed) if held]
-
-
-def _with_times(spark: SparkSession, rows: list[tuple], columns: str) -> DataFrame:
-    listed = spark.createDataFrame(rows, f"{columns}, millis bigint")
-    return listed.withColumn("modified", F.timestamp_millis("millis")).drop("millis")
-
-
 def list_files(
     spark: SparkSession, location: str, months: list[str] | None = None
 ) -> DataFrame:
-    """Month, path and write time of each data file, from the folder listings alone."""
-    found = _month_files(spark, location, months)
-    rows = [(month, path, time) for month, files in found for path, time in files]
-    return _with_times(spark, rows, f"{PARTITION} date, path string")
+    """Month, path and write time of each data file.
+
+    Spark's own lister walks the folders, on the executors where there are many; write times are
+    read where the listed files are dealt out, so nothing passes file by file through the driver.
+    """
+    months = parse_months(months)
+    pattern = month_folders(location, months) if months else location
+    try:
+        found = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(pattern)
+    except AnalysisException as error:
+        if not _not_found(error):
+            raise
+        return spark.createDataFrame([], f"{PARTITION} date, path string, modified timestamp")
+    day = F.regexp_extract("path", f"/{PARTITION}=([^/]+)/", 1)
+    return found.where(day != "").select(
+        day.cast("date").alias(PARTITION), "path", F.col("modificationTime").alias("modified")
+    )
 
 
 def partition_times(
     spark: SparkSession, location: str, months: list[str] | None = None
 ) -> DataFrame:
     """Month -> when its newest file was written. One row per month."""
-    found = _month_files(spark, location, months)
-    rows = [(month, max(time for _, time in files)) for month, files in found]
-    return _with_times(spark, rows, f"{PARTITION} date")
+    return list_files(spark, location, months).groupBy(PARTITION).agg(F.max("modified").alias("modified"))
 
 
 def list_partitions(spark: SparkSession, location: str) -> list[str]:
     """The months a table holds, in order. A few hundred values at most."""
-    return sorted(month.isoformat() for month, _ in _month_files(spark, location, None))
+    found = list_files(spark, location).select(PARTITION).distinct().collect()
+    return sorted(row[PARTITION].isoformat() for row in found)
 
 
 def path_exists(spark: SparkSession, location: str) -> bool:
