@@ -26,6 +26,15 @@ def final_path(table: str) -> str:
     return _join(FINAL, table)
 
 
+def summary_path(name: str) -> str:
+    return _join("summaries", name)
+
+
+def pending_path(path: str) -> str:
+    """Where a table is built before it is tested and published."""
+    return _join("pending", path)
+
+
 def under(base: str, path: str) -> str:
     return f"{base.rstrip('/')}/{path}"
 

@@ -50,8 +50,10 @@ def check_raw(lake: Lake, table: str, months: list[str] | None = None) -> list:
     return gate(run_checks(rows, checks, lookups, tested), f"raw {table}")
 
 
-def check_model(lake: Lake, name: str, months: list[str] | None = None) -> list:
-    """All tests of a stored table; with months, of these months only.
+def check_model(
+    lake: Lake, name: str, months: list[str] | None = None, rows: DataFrame | None = None
+) -> list:
+    """All tests of a stored table; with months, of these months only; or of `rows` in its place.
 
     Tests of single rows need no more than the months just built, since the others passed when
     they were.
@@ -59,7 +61,13 @@ def check_model(lake: Lake, name: str, months: list[str] | None = None) -> list:
     model = MODELS[name]
     suite = {STAGING: suites.STAGING, FINAL: suites.FINAL}[model.layer][model.table]
     chosen = months if model.partition_by else None
-    return gate(run_checks(lake.read(name, chosen), suite), name)
+    return gate(run_checks(lake.read(name, chosen) if rows is None else rows, suite), name)
+
+
+def build_and_check(lake: Lake, name: str, months: list[str] | None = None, test_built_only: bool = False) -> None:
+    """Write a model beside the live table and test it there. Failing rows never reach a reader."""
+    lake.build(name, months, pending=True)
+    check_model(lake, name, rows=lake.read_pending(name, months, test_built_only))
 
 
 def build_staging(
@@ -71,6 +79,7 @@ def build_staging(
 ) -> list[str]:
     """One trip service: the months it rebuilt, nothing if all are fresh.
 
+    Months are built aside, tested and then published, so a failing test leaves the table as it was.
     Tests read the whole table unless `test_built_only`, which a long history may call for.
     """
     name = f"stg_{service}"
@@ -83,19 +92,17 @@ def build_staging(
     if not months:
         return []
     check_raw(lake, service, months if test_built_only else None)
-    lake.build(name, months)
-    check_model(lake, name, months if test_built_only else None)
+    build_and_check(lake, name, months, test_built_only)
+    lake.publish(name, months)
     if database:
         repair_table(lake.spark, database, service, lake.location(name))
     return months
 
 
-def reconcile(lake: Lake) -> None:
-    rows = unreconciled(
-        lake.read("trips"),
-        trips_hourly=lake.read("trips_hourly"),
-        weather_daily=lake.read("weather_daily"),
-    ).collect()
+def reconcile(lake: Lake, **summaries: DataFrame) -> None:
+    """Stop if a mart does not add up to the trips; `summaries` are marts not published yet."""
+    marts = {name: summaries.get(name) or lake.read(name) for name in ("trips_hourly", "weather_daily")}
+    rows = unreconciled(lake.read("trips"), **marts).collect()
     if rows:
         raise ChecksFailed("marts do not add up to trips: " + ", ".join(r["mart"] for r in rows))
 
@@ -106,10 +113,11 @@ def build_final(
     database: str | None = None,
     test_built_only: bool = False,
 ) -> list[str]:
-    """Stale months of the monthly marts, then the small marts whole.
+    """Stale months of the monthly marts, then the small marts whole, from summaries by month.
 
-    Weather is not among the planned sources: a late correction reaches a month when that month
-    is rebuilt for another reason, or by a full refresh.
+    Either wave is built aside, tested and then published. The second one reads the first as
+    published, and must add up to it. Weather is not among the planned sources: a late correction
+    reaches a month when that month is rebuilt for another reason, or by a full refresh.
     """
     months = plan_months(
         lake.spark,
@@ -119,14 +127,12 @@ def build_final(
     )
     if not months:
         return []
-
-    def build_and_check(name: str) -> None:
-        lake.build(name, months)
-        check_model(lake, name, months if test_built_only else None)
-
     for wave in (TRIP_MARTS, SUMMARY_MARTS):
-        lake.side_by_side(build_and_check, wave)
-    reconcile(lake)
+        lake.side_by_side(lambda name: build_and_check(lake, name, months, test_built_only), wave)
+        if wave is SUMMARY_MARTS:
+            reconcile(lake, **{n: lake.read_pending(n, months) for n in ("trips_hourly", "weather_daily")})
+        for name in wave:
+            lake.publish(name, months)
     if database:
         recreate_tables(
             lake.spark, database, {m: lake.location(m) for m in (*MONTHLY_MARTS, *SMALL_MARTS)}
@@ -136,8 +142,8 @@ def build_final(
 
 def build_weather(lake: Lake, database: str | None = None) -> None:
     """Weather is small: always rebuilt whole."""
-    lake.build("stg_weather")
-    check_model(lake, "stg_weather")
+    build_and_check(lake, "stg_weather")
+    lake.publish("stg_weather")
     if database:
         repair_table(lake.spark, database, "weather", lake.location("stg_weather"))
 
@@ -147,8 +153,9 @@ def build_zones(
 ) -> bool:
     """The zone lookup, and the polygons unless they are staged; tells if polygons were written."""
     check_raw(lake, "taxi_zone_lookup")
-    lake.build("stg_taxi_zone_lookup")
-    check_model(lake, "stg_taxi_zone_lookup")
+    build_and_check(lake, "stg_taxi_zone_lookup")
+    lake.publish("stg_taxi_zone_lookup")
+    lake.forget_lookup()
     location = lake.source_location(POLYGONS)
     written = published is not None and not path_exists(lake.spark, location)
     if written:

@@ -130,19 +130,57 @@ def trips_hourly(all_trips: DataFrame) -> DataFrame:
     return conform(grouped, FINAL["trips_hourly"])
 
 
-def weather_daily(impact: DataFrame) -> DataFrame:
-    grouped = impact.groupBy("date").agg(
+# --- the small marts are folded from one summary per month ----------------------------------
+
+
+def monthly_days(impact: DataFrame) -> DataFrame:
+    """Per month and day, what `fold_days` needs: a month's files may hold days of another."""
+    return impact.groupBy(PARTITION, "date").agg(
         F.max("weather_description").alias("weather_description"),
         F.max("avg_temperature_c").alias("avg_temperature_c"),
         F.max("total_precipitation_mm").alias("total_precipitation_mm"),
         F.max("avg_wind_speed_kmh").alias("avg_wind_speed_kmh"),
         F.count(F.lit(1)).alias("trips"),
     )
+
+
+def fold_days(days: DataFrame) -> DataFrame:
+    """`weather_daily` from the `monthly_days` of all months."""
+    grouped = days.groupBy("date").agg(
+        F.max("weather_description").alias("weather_description"),
+        F.max("avg_temperature_c").alias("avg_temperature_c"),
+        F.max("total_precipitation_mm").alias("total_precipitation_mm"),
+        F.max("avg_wind_speed_kmh").alias("avg_wind_speed_kmh"),
+        F.sum("trips").alias("trips"),
+    )
     return conform(
         grouped.withColumn("day_type", day_type(F.col("date"))), FINAL["weather_daily"]
     )
 
 
+def weather_daily(impact: DataFrame) -> DataFrame:
+    return fold_days(monthly_days(impact))
+
+
+def monthly_zone_revenue(all_revenue: DataFrame) -> DataFrame:
+    """Per month and zone, sums and counts: means cannot be folded, these can."""
+    return all_revenue.groupBy(PARTITION, "pickup_zone").agg(
+        F.count(F.lit(1)).alias("trips"),
+        F.sum("total_amount").alias("revenue"),
+        F.count("total_amount").alias("priced_trips"),
+    )
+
+
+def fold_zone_revenue(months: DataFrame) -> DataFrame:
+    """`revenue_by_zone` from the `monthly_zone_revenue` of all months."""
+    mean = F.sum("revenue") / F.nullif(F.sum("priced_trips"), F.lit(0))
+    return months.groupBy("pickup_zone").agg(
+        F.sum("trips").alias("trip_count"),
+        round_half_away(F.sum("revenue"), 2).alias("total_revenue"),
+        round_half_away(mean, 2).alias("avg_fare"),
+    )
+
+
 def revenue_by_zone(all_revenue: DataFrame) -> DataFrame:
     return all_revenue.groupBy("pickup_zone").agg(
         F.count(F.lit(1)).alias("trip_count"),
@@ -151,14 +189,17 @@ def revenue_by_zone(all_revenue: DataFrame) -> DataFrame:
     )
 
 
-def zones_geo(polygons: DataFrame, all_revenue: DataFrame) -> DataFrame:
+def zones_with_totals(polygons: DataFrame, totals: DataFrame) -> DataFrame:
     """Every polygon with its zone's revenue, zero where there is none.
 
     The match is by zone name, so polygons sharing a name each show the whole sum.
     """
-    totals = revenue_by_zone(all_revenue)
     joined = polygons.join(totals, polygons["zone"] == totals["pickup_zone"], "left")
     zeros = {
         name: F.coalesce(F.col(name), F.lit(0)) for name in ("trip_count", "total_revenue", "avg_fare")
     }
     return conform(joined.withColumns(zeros), FINAL["zones_geo"])
+
+
+def zones_geo(polygons: DataFrame, all_revenue: DataFrame) -> DataFrame:
+    return zones_with_totals(polygons, revenue_by_zone(all_revenue))

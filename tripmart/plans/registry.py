@@ -5,19 +5,53 @@ from __future__ import annotations
 from collections.abc import Callable, Iterable, Mapping
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
+from datetime import date
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from tripmart.operators.dimensions import broadcast_if_small
-from tripmart.operators.sinks import write_lake
-from tripmart.paths import FINAL, PARTITION, RAW, STAGING, final_path, raw_path, staging_path, under, parse_months
+from tripmart.operators.sinks import publish, write_lake
+from tripmart.paths import (
+    FINAL,
+    PARTITION,
+    RAW,
+    STAGING,
+    final_path,
+    parse_months,
+    pending_path,
+    raw_path,
+    staging_path,
+    summary_path,
+    under,
+)
 from tripmart.plans import marts, staging
+from tripmart.plans.staleness import plan_months
 from tripmart.sources import raw, schemas
-from tripmart.sources.lake import read_lake
+from tripmart.sources.lake import in_months, list_partitions, path_exists, read_lake
 
 Inputs = Mapping[str, DataFrame]
 
 
+@dataclass(frozen=True)
+class Summary:
+    """Rows per month of a stored table, kept beside it, from which a small mart is folded.
+
+    Only months written since are summarised again, so the mart never rescans the history.
+    """
+
+    name: str
+    build: Callable[[DataFrame], DataFrame]
+
+    @property
+    def path(self) -> str:
+        return summary_path(self.name)
+
+    @property
+    def schema(self) -> str:
+        return schemas.SUMMARIES[self.name]
+
+
 @dataclass(frozen=True)
 class Model:
     """A table and its recipe. One without a path is never stored but built where it is used."""
@@ -31,6 +65,7 @@ class Model:
     schema: str | None = None
     partition_by: str | None = None
     regroup: bool = False
+    summaries: Mapping[str, Summary] = field(default_factory=dict)  # what is read in an input's place
 
     @property
     def stored(self) -> bool:
@@ -68,6 +103,7 @@ def _mart(
     build: Callable[[Inputs], DataFrame],
     monthly: bool,
     regroup: bool = False,
+    summaries: Mapping[str, Summary] = {},
 ) -> Model:
     return Model(
         name=name,
@@ -79,6 +115,7 @@ def _mart(
         schema=schemas.FINAL[name],
         partition_by=PARTITION if monthly else None,
         regroup=regroup,
+        summaries=summaries,
     )
 
 
@@ -137,14 +174,16 @@ _MODELS = [
     _mart(
         "weather_daily",
         ("weather_impact",),
-        lambda i: marts.weather_daily(i["weather_impact"]),
+        lambda i: marts.fold_days(i["weather_impact"]),
         monthly=False,
+        summaries={"weather_impact": Summary("monthly_days", marts.monthly_days)},
     ),
     _mart(
         "zones_geo",
         ("revenue", "reference.taxi_zones_geo"),
-        lambda i: marts.zones_geo(i["reference.taxi_zones_geo"], i["revenue"]),
+        lambda i: marts.zones_with_totals(i["reference.taxi_zones_geo"], marts.fold_zone_revenue(i["revenue"])),
         monthly=False,
+        summaries={"revenue": Summary("monthly_zone_revenue", marts.monthly_zone_revenue)},
     ),
 ]
 MODELS: dict[str, Model] = {m.name: m for m in _MODELS}
@@ -219,6 +258,10 @@ class Lake:
             return raw.read_raw_trips(self.spark, self.source_base, table, months)
         return reader(self.spark, self.source_base)
 
+    def forget_lookup(self) -> None:
+        """Read the zone lookup anew where it is next used."""
+        self._lookup = None
+
     def zone_lookup(self) -> DataFrame:
         """The staged lookup, measured once for all services of a build."""
         if self._lookup is None:
@@ -239,20 +282,59 @@ class Lake:
         by_month = MODELS[name].partition_by and name != "stg_weather"
         return self.read(name, months if by_month else None)
 
+    def refresh_summary(self, source: str, summary: Summary) -> list[str]:
+        """Summarise the months of a stored table that were written since; returns these months."""
+        location = under(self.model_base or self.source_base, summary.path)
+        months = plan_months(self.spark, [self.location(source)], [location])
+        if months:
+            write_lake(summary.build(self.read(source, months)), location, PARTITION, months, regroup=True)
+        return months
+
+    def summary(self, source: str, summary: Summary) -> DataFrame:
+        """The up-to-date summary of a stored table, of the months it now holds."""
+        self.refresh_summary(source, summary)
+        location = under(self.model_base or self.source_base, summary.path)
+        held = list_partitions(self.spark, self.location(source))
+        return in_months(read_lake(self.spark, location, summary.schema), held)
+
     def plan(self, name: str, months: list[str] | None = None) -> DataFrame:
         """The model's rows as a lazy DataFrame, from stored tables and raw files."""
         model, months = MODELS[name], parse_months(months)
-        return model.build({d: self._input(d, months) for d in model.depends_on})
+        inputs = {
+            d: self.summary(d, model.summaries[d]) if d in model.summaries else self._input(d, months)
+            for d in model.depends_on
+        }
+        return model.build(inputs)
 
-    def build(self, name: str, months: list[str] | None = None) -> None:
-        """Write a model, or some months of it: a list, a comma-separated text or one date."""
+    def build(self, name: str, months: list[str] | None = None, pending: bool = False) -> None:
+        """Write a model, or some months of it: a list, a comma-separated text or one date.
+
+        With `pending` the live table stays as it is until `publish`.
+        """
         model, months = MODELS[name], parse_months(months)
         chosen = months if model.partition_by else None
         if name == "stg_taxi_zone_lookup":
-            self._lookup = None
-        write_lake(
-            self.plan(name, chosen), self.location(name), model.partition_by, chosen, model.regroup
-        )
+            self.forget_lookup()
+        location = self.pending_location(name) if pending else self.location(name)
+        write_lake(self.plan(name, chosen), location, model.partition_by, chosen, model.regroup, clear=pending)
+
+    def pending_location(self, name: str) -> str:
+        return under(self.model_base or self.source_base, pending_path(MODELS[name].path))
+
+    def read_pending(self, name: str, months: list[str] | None = None, built_only: bool = False) -> DataFrame:
+        """The table as it will be once its pending build of `months` is published, or the built rows alone."""
+        model, months = MODELS[name], parse_months(months)
+        built = self.spark.read.schema(model.schema).parquet(self.pending_location(name))
+        if built_only or not (months and model.partition_by) or not path_exists(self.spark, self.location(name)):
+            return built
+        # A month that has no rows any more keeps its live folder
+        replaced = [date.fromisoformat(m) for m in list_partitions(self.spark, self.pending_location(name))]
+        return self.read(name).where(~F.col(PARTITION).isin(replaced)).unionByName(built)
+
+    def publish(self, name: str, months: list[str] | None = None) -> None:
+        """Put the pending build of a model, or of some months of it, in the place of the live files."""
+        by_month = bool(parse_months(months) and MODELS[name].partition_by)
+        publish(self.spark, self.pending_location(name), self.location(name), by_month)
 
     def side_by_side(self, work: Callable[[str], object], names: Iterable[str]) -> dict[str, object]:
         """Run independent builds at once, so that one's last tasks leave no executor idle."""

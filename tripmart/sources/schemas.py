@@ -124,3 +124,12 @@ FINAL = {
         "trip_count bigint, total_revenue double, avg_fare double"
     ),
 }
+
+# What the small marts keep of a month
+SUMMARIES = {
+    "monthly_days": (
+        "date date, weather_description string, avg_temperature_c double, "
+        f"total_precipitation_mm double, avg_wind_speed_kmh double, trips bigint, {_DATE}"
+    ),
+    "monthly_zone_revenue": f"pickup_zone string, trips bigint, revenue double, priced_trips bigint, {_DATE}",
+}
