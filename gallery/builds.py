@@ -15,7 +15,7 @@ from tripmart.plans import flows, registry, suites
 from tripmart.plans.marts import stack
 from tripmart.plans.staging import SERVICES
 from tripmart.plans.staleness import stale_months
-from tripmart.sources.lake import partition_times
+from tripmart.sources.lake import footer_counts, partition_times
 from tripmart.workspace import new_workspace
 from tripmart.plans.registry import MONTHLY_MARTS, STAGED_SERVICES, Lake
 
@@ -105,6 +105,21 @@ def partition_volume(spark, sf_dir):
     return checks.odd_volumes(rows, PARTITION, min_ratio=0.9, max_ratio=1.1)
 
 
+_NULLABLE = ("pickup_datetime", "dropoff_datetime", "pickup_zone", "dropoff_zone", "total_amount")
+
+
+@query(
+    "v07_footer_counts",
+    f"""SELECT partition_date, count(*) AS row_count, {", ".join(f"count({c}) AS {c}" for c in _NULLABLE)}
+        FROM stg_yellow GROUP BY partition_date""",
+)
+def counts_from_footers(spark, sf_dir):
+    """Volumes and non-NULL values of a stored table's months, without reading their rows."""
+    lake = stored.staged_lake(spark, sf_dir)
+    schema = registry.MODELS["stg_yellow_taxi"].schema
+    return footer_counts(spark, lake.location("stg_yellow_taxi"), schema, columns=_NULLABLE)
+
+
 @query(
     "v08_marts_reconcile",
     """SELECT 'weather_daily' AS mart, count(*) AS mart_trips, (SELECT count(*) FROM trips) AS trips
@@ -197,6 +212,30 @@ def all_checks(spark, sf_dir):
     return stack(results)
 
 
+@query(
+    "v09_unpublished_months",
+    """SELECT partition_date, count(*) AS rows, count(total_amount) AS totals, false AS published
+        FROM ok_stg_yellow GROUP BY partition_date""",
+)
+def unpublished_months(spark, sf_dir):
+    """A table built anew from faulty files stops at the gate: readers still find the former months."""
+    lake = stored.sandbox(spark, sf_dir)
+    lake.build("stg_taxi_zone_lookup")
+    flows.build_staging(lake, "yellow_taxi")
+    faulty = Lake(spark, stored.landed(spark, sf_dir), lake.model_base)
+    published = True
+    try:
+        flows.build_and_check(faulty, "stg_yellow_taxi")
+        faulty.publish("stg_yellow_taxi")
+    except checks.ChecksFailed:
+        published = False
+    return lake.read("stg_yellow_taxi").groupBy(PARTITION).agg(
+        F.count(F.lit(1)).alias("rows"),
+        F.count("total_amount").alias("totals"),
+        F.lit(published).alias("published"),
+    )
+
+
 # --- planning -------------------------------------------------------------------------------
 
 

@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tripmart.functions.rounding import round_half_away
+from tripmart.operators.dimensions import broadcast_if_small
 
 ERROR, WARN = "error", "warn"
 #: Partitions before one that its volume is compared with.
@@ -85,10 +86,25 @@ def missing_in_lookup(df: DataFrame, column: str, lookup: DataFrame, key: str) -
     return used.join(lookup.select(F.col(key).alias("known")), used[column] == F.col("known"), "left_anti")
 
 
+def repeated_hashes(df: DataFrame) -> DataFrame:
+    """64-bit hashes of whole rows that occur more than once. Only hashes are shuffled."""
+    hashed = df.select(F.xxhash64(*df.columns).alias("row_hash")).groupBy("row_hash")
+    return hashed.agg(F.count(F.lit(1)).alias("n_same")).where("n_same > 1").select("row_hash")
+
+
 def duplicate_rows(df: DataFrame) -> DataFrame:
-    """How many rows repeat an earlier one in every column; no row if none does."""
-    groups = df.groupBy(*df.columns).agg(F.count(F.lit(1)).alias("n_same"))
-    extra = groups.agg(F.coalesce(F.sum(F.col("n_same") - 1), F.lit(0)).alias("duplicate_rows"))
+    """How many rows repeat an earlier one in every column; no row if none does.
+
+    Equal rows have equal hashes, so rows are compared whole only where a hash occurs twice. As a
+    rule that is none, and the table is never shuffled; the hashes are broadcast while they are few.
+    """
+    suspects = repeated_hashes(df)
+    if suspects.isEmpty():
+        return df.sparkSession.createDataFrame([], "duplicate_rows bigint")
+    same = F.xxhash64(*[df[c] for c in df.columns]) == F.col("row_hash")
+    met = df.join(broadcast_if_small(suspects), same, "left_semi")
+    groups = met.groupBy(*df.columns).agg(F.count(F.lit(1)).alias("_n_same"))
+    extra = groups.agg(F.coalesce(F.sum(F.col("_n_same") - 1), F.lit(0)).alias("duplicate_rows"))
     return extra.where("duplicate_rows > 0")
 
 
@@ -169,12 +185,14 @@ def count_together(
     checks: list[Check],
     lookups: dict[str, DataFrame] | None = None,
     partitions: list | None = None,
+    earlier: DataFrame | None = None,
 ) -> DataFrame:
     """Tests of single rows, of references and of one column's volumes, all from one scan.
 
     Rows are counted per partition and referenced values first: the lookups are joined to one row
     per combination, and no value is too frequent. With partitions, failures are counted in these
-    only, and the others are what their volumes are compared with.
+    only, and the others are what their volumes are compared with; `earlier` has more such volumes
+    (partition_value, row_count).
     """
     volume = next((c for c in checks if c.kind == "partition_volume"), None)
     references = [c for c in checks if c.kind == "relationships"]
@@ -202,6 +220,9 @@ def count_together(
         totals = found.groupBy(F.col(volume.column).alias("partition_value")).agg(
             F.sum("_rows").alias("row_count"), *sums
         )
+        if earlier is not None:
+            none = [F.lit(0).cast("bigint").alias(name) for name in failed.values()]
+            totals = totals.unionByName(earlier.select("partition_value", "row_count", *none))
         found = with_previous_average(totals, limits.pop("lookback", LOOKBACK))
         found = found.withColumn("_odd", is_odd_volume(**limits))
         if partitions:
@@ -234,17 +255,19 @@ def run_checks(
     checks: list[Check],
     lookups: dict[str, DataFrame] | None = None,
     partitions: list | None = None,
+    earlier: DataFrame | None = None,
 ) -> DataFrame:
     """Test name, severity and number of failures for every declared test of a table.
 
-    With partitions, which needs a test of volumes, only these are tested.
+    With partitions, which needs a test of volumes, only these are tested; `earlier` has the volumes
+    of others that `df` does not hold.
     """
     volumes = [c for c in checks if c.kind == "partition_volume"]
     together = [c for c in checks if c.kind in (*ROW_RULES, "relationships")] + volumes[:1]
     if len(volumes) > 1 or (partitions and not volumes):
         raise ValueError("one test of volumes names the partitions of a table")
     if volumes or any(c.kind == "relationships" for c in together):
-        results = [count_together(df, together, lookups, partitions)]
+        results = [count_together(df, together, lookups, partitions, earlier)]
     else:
         results = [count_row_failures(df, together)] if together else []
     tested = df.where(F.col(volumes[0].column).isin(partitions)) if partitions else df

@@ -25,7 +25,7 @@ from tripmart.plans.registry import (
 from tripmart.plans.staging import SERVICES
 from tripmart.plans.staleness import plan_months
 from tripmart.sources import schemas
-from tripmart.sources.lake import list_files, list_partitions, path_exists
+from tripmart.sources.lake import footer_counts, list_files, list_partitions, path_exists
 from tripmart.sources.polygons import zone_geometry
 
 POLYGONS = staging_path("reference/taxi_zones_geo")
@@ -34,20 +34,25 @@ POLYGONS = staging_path("reference/taxi_zones_geo")
 def check_raw(lake: Lake, table: str, months: list[str] | None = None) -> list:
     """All tests of a raw table; with months, of these months only.
 
-    The months just before are read too, since volumes are compared with theirs.
+    Volumes are compared with those of the months just before, which come from the footers of their
+    files: no row of these months is read.
     """
     checks, months = suites.RAW[table], parse_months(months)
     needs_lookup = any(c.kind == "relationships" for c in checks)
     lookups = {suites.LOOKUP: lake.read_raw(suites.LOOKUP)} if needs_lookup else {}
-    read: list[str] = []
+    earlier = None
     if months:
-        landed = list_partitions(lake.spark, lake.source_location(raw_path(table)))
+        location = lake.source_location(raw_path(table))
+        landed = list_partitions(lake.spark, location)
         back = max(c.arguments.get("lookback", LOOKBACK) for c in checks if c.kind == "partition_volume")
         places = [at for at, month in enumerate(landed) if month in months]
-        read = sorted({month for at in places for month in landed[max(0, at - back) : at + 1]})
-    rows = lake.read_raw(table, read)
+        before = sorted({month for at in places for month in landed[max(0, at - back) : at]} - set(months))
+        if before:
+            one_column = f"{schemas.RAW[table].partition(',')[0]}, {PARTITION} date"
+            counted = footer_counts(lake.spark, location, one_column, before)
+            earlier = counted.withColumnRenamed(PARTITION, "partition_value")
     tested = [date.fromisoformat(month) for month in months]
-    return gate(run_checks(rows, checks, lookups, tested), f"raw {table}")
+    return gate(run_checks(lake.read_raw(table, months), checks, lookups, tested, earlier), f"raw {table}")
 
 
 def check_model(

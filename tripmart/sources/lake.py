@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterable
 from datetime import date
 from functools import lru_cache
 
@@ -93,6 +94,35 @@ def list_partitions(spark: SparkSession, location: str) -> list[str]:
     return sorted(row[PARTITION].isoformat() for row in found)
 
 
+def counted_by_footers(
+    spark: SparkSession, location: str, schema: str, months: list[str] | None = None, columns: Iterable[str] = ()
+) -> DataFrame:
+    """Rows of each month and non-NULL values of some columns, as a plan that reads no data page.
+
+    Parquet footers hold these counts, and Spark's second-generation reader answers counts by
+    partition from them. That reader is switched on in a session of its own, so the result can only
+    be collected. Columns are found by their place: `schema` must list all columns of the files in
+    order, as it does for tables written here. Row counts need no more than one column of it.
+    """
+    other = spark.newSession()
+    other.conf.set("spark.sql.sources.useV1SourceList", "")
+    other.conf.set("spark.sql.parquet.aggregatePushdown", "true")
+    paths = [f"{location.rstrip('/')}/{PARTITION}={m}" for m in parse_months(months)] or [location]
+    rows = other.read.schema(schema).option("basePath", location).parquet(*paths)
+    counts = [F.count(c).alias(c) for c in columns]
+    return rows.groupBy(PARTITION).agg(F.count(F.lit(1)).alias("row_count"), *counts)
+
+
+def footer_counts(
+    spark: SparkSession, location: str, schema: str, months: list[str] | None = None, columns: Iterable[str] = ()
+) -> DataFrame:
+    """The rows of `counted_by_footers`, one per month. The months must exist."""
+    columns = list(columns)
+    found = counted_by_footers(spark, location, schema, months, columns)
+    rows = [tuple(row) for row in found.collect()]
+    return spark.createDataFrame(rows, ", ".join([f"{PARTITION} date, row_count bigint", *[f"`{c}` bigint" for c in columns]]))
+
+
 def path_exists(spark: SparkSession, location: str) -> bool:
     """Whether there is a file, or a folder that holds something."""
     return any(s.isFile() or _found(spark, f"{path}/*") for _, path, s in _found(spark, location))
