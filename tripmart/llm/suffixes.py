@@ -31,7 +31,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tripmart.llm.common import Stored
-from tripmart.llm.words import mix, slices, string_bytes, word_hashes
+from tripmart.llm.words import run_hashes, run_sums, slices, string_bytes, word_hashes
 
 LEAST = 50
 GRAM = 10
@@ -47,13 +47,17 @@ def minimisers(hashes, gram: int = GRAM, window: int = WINDOW):
     """
     import numpy as np
 
-    n = len(hashes) - gram + 1
-    if n < 1:
+    begin = np.arange(max(0, len(hashes) - gram + 1))
+    return _selected(run_hashes(run_sums(hashes), begin, begin + gram), window)
+
+
+def _selected(runs, window: int):
+    """`minimisers`, of the hashes of all runs of words of a text."""
+    import numpy as np
+
+    if not len(runs):
         return np.empty(0, np.int64)
-    runs = np.zeros(n, np.uint64)
-    for k in range(gram):
-        runs = mix(runs * np.uint64(0x9E3779B97F4A7C15) + hashes[k : k + n])
-    if n <= window:
+    if len(runs) <= window:
         return np.array([int(np.argmin(runs))])
     views = np.lib.stride_tricks.sliding_window_view(runs, window)
     chosen = np.unique(views.argmin(axis=1) + np.arange(len(views)))
@@ -79,30 +83,29 @@ def _suffixes(batches, least: int):
 
     np.seterr(over="ignore")
     key = least - WINDOW + 1
-    step = np.uint64(0xD6E8FEB86659FD93)
     for batch in batches:
         rows, keys, nexts, places = [], [], [], []
         ids = batch.column(0).to_numpy(zero_copy_only=False)
         for start, end in slices(batch.column(1)):
             raw, offsets = string_bytes(batch.column(1).slice(start, end - start))
             hashes, _, _, firsts = word_hashes(raw, offsets, lower=False)
-            for row in range(end - start):
-                own = hashes[firsts[row] : firsts[row + 1]]
-                if len(own) < least:
-                    continue
-                at = minimisers(own)
-                at = at[at + key <= len(own)]
-                head = np.zeros(len(at), np.uint64)
-                for k in range(key):
-                    head = mix(head * step + own[at + k])
-                padded = np.concatenate([own, np.zeros(key, np.uint64)])
-                tail = np.zeros(len(at), np.uint64)
-                for k in range(key, 2 * key):
-                    tail = mix(tail * step + padded[np.minimum(at + k, len(own))])
-                rows.append(np.full(len(at), ids[start + row]))
-                keys.append(head.view(np.int64))
-                nexts.append((tail >> np.uint64(33)).astype(np.int32))
-                places.append(at.astype(np.int32))
+            sums = run_sums(hashes)
+            begin = np.arange(max(0, len(hashes) - GRAM + 1))
+            grams = run_hashes(sums, begin, begin + GRAM)
+            found = []
+            for row in np.flatnonzero(np.diff(firsts) >= least).tolist():
+                at = _selected(grams[firsts[row] : firsts[row + 1] - GRAM + 1], WINDOW)
+                found.append((row, at[at + key <= firsts[row + 1] - firsts[row]]))
+            if not found:
+                continue
+            at = np.concatenate([a for _, a in found])
+            row = np.repeat([r for r, _ in found], [len(a) for _, a in found])
+            head = firsts[row] + at + key
+            rows.append(ids[start + row])
+            keys.append(run_hashes(sums, head - key, head).view(np.int64))
+            tail = run_hashes(sums, head, np.minimum(head + key, firsts[row + 1]))
+            nexts.append((tail >> np.uint64(33)).astype(np.int32))
+            places.append(at.astype(np.int32))
         if rows:
             yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(x)) for x in (keys, nexts, rows, places)], names=["head", "tail", "doc", "at"])
 
@@ -161,24 +164,24 @@ def _windows(batches, least: int):
     import pyarrow as pa
 
     np.seterr(over="ignore")
-    step = np.uint64(0xA24BAED4963EE407)
     for batch in batches:
         texts, places = batch.column(batch.schema.get_field_index("text")), batch.column(batch.schema.get_field_index("ats"))
         docs = batch.column(batch.schema.get_field_index("doc")).to_numpy()
         for start, end in slices(texts):
             hashes, _, _, firsts = word_hashes(*string_bytes(texts.slice(start, end - start)), lower=False)
-            out: tuple[list, ...] = ([], [], [])
-            for row in range(end - start):
-                own = hashes[firsts[row] : firsts[row + 1]]
-                ats = places[start + row].values.to_numpy(zero_copy_only=False)
-                begins = np.unique((ats[:, None] - np.arange(WINDOW)).ravel())
-                begins = begins[(begins >= 0) & (begins + least <= len(own))]
-                key = np.zeros(len(begins), np.uint64)
-                for k in range(least):
-                    key = mix(key * step + own[begins + k])
-                for column, value in zip(out, (key.view(np.int64), np.full(len(begins), docs[start + row]), begins.astype(np.int32))):
-                    column.append(value)
-            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(x)) for x in out], names=["head", "doc", "at"])
+            sums = run_sums(hashes)
+            # Every word before a kept suffix, within its text; a place is met once
+            ats = places.slice(start, end - start)
+            row = np.repeat(np.arange(end - start), ats.value_lengths().to_numpy())
+            at = firsts[row] + ats.flatten().to_numpy(zero_copy_only=False)
+            begin, row = (at[:, None] - np.arange(WINDOW)).ravel(), np.repeat(row, WINDOW)
+            inside = (begin >= firsts[row]) & (begin + least <= firsts[row + 1])
+            begin, once = np.unique(begin[inside], return_index=True)
+            row = row[inside][once]
+            key = run_hashes(sums, begin, begin + least).view(np.int64)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(key), pa.array(docs[start + row]), pa.array((begin - firsts[row]).astype(np.int32))], names=["head", "doc", "at"]
+            )
 
 
 def _pair_batch(found, extra=None):

@@ -77,3 +77,21 @@ def word_hashes(raw: np.ndarray, offsets: np.ndarray, lower: bool = True, seed:
     back = _powers(pow(int(_P), -1, 1 << 64), n)
     hashes = mix((sums[end] - sums[begin]) * back[begin])
     return hashes, begin, end, np.searchsorted(begin, offsets)
+
+
+_R = 0xD6E8FEB86659FD93  # odd too
+
+
+def run_sums(hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Prefix sums of a word sequence, from which `run_hashes` takes the hash of any run of words."""
+    n = len(hashes)
+    sums = np.zeros(n + 1, np.uint64)
+    if not n:
+        return sums, np.ones(1, np.uint64)
+    np.cumsum(hashes * _powers(_R, n), out=sums[1:])
+    return sums, _powers(pow(_R, -1, 1 << 64), n + 1)
+
+
+def run_hashes(sums: tuple[np.ndarray, np.ndarray], begin: np.ndarray, end: np.ndarray) -> np.ndarray:
+    """64-bit hashes of the runs of words begin[i] to end[i]; equal runs have equal hashes wherever they stand."""
+    return mix((sums[0][end] - sums[0][begin]) * sums[1][begin])
