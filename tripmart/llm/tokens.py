@@ -1,7 +1,7 @@
 """Token ids of whole texts in Arrow batches, exactly as the tokenizers library gives them.
 
 A text is cut at spaces where the tokenizer's own pre-tokens end, and the ids of each distinct piece
-come from the library and are kept in the worker, up to REMEMBERED pieces. That is several times
+come from the library and are kept in the worker, up to REMEMBERED bytes. That is several times
 faster than encoding whole texts and gives the same ids, as BPE never merges across pre-tokens. It is
 used for texts whose characters all lie below U+0250, where normalisation and case are simple; other
 texts, texts with unusual runs of white space and texts that may hold a special token are encoded
@@ -14,9 +14,10 @@ import json
 import re
 
 from tripmart.llm.common import worker_state
+from tripmart.llm.memory import Memory
 
-#: Pieces kept in a worker; when full the memory starts anew.
-REMEMBERED = 600_000
+#: Bytes of pieces and their ids kept in a worker; frequent pieces stay when it is full.
+REMEMBERED = 192 << 20
 #: Characters of texts that are cut before their new pieces are encoded.
 AT_ONCE = 1_000_000
 _RARE_SPACES = "\t\x0b\x0c\r\x85\xa0"
@@ -35,8 +36,8 @@ class Encoder:
             parts = json.load(f)
         self.specials = [t["content"] for t in parts.get("added_tokens") or []]
         self.beyond = re.compile("[^\x00-ɏ]").search
-        self.first: dict[str, bytes] = {}
-        self.later: dict[str, bytes] = {}
+        self.first = Memory(REMEMBERED // 8)
+        self.later = Memory(REMEMBERED)
         before, model = parts.get("pre_tokenizer") or {}, parts.get("model") or {}
         kinds = [x["type"] for x in before.get("pretokenizers", [before])]
         normal = [x["type"] for x in (parts.get("normalizer") or {}).get("normalizers", [])]
@@ -54,10 +55,11 @@ class Encoder:
         found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
         return [np.array(x.ids, dtype="<u4").tobytes() for x in found]
 
-    def _learn(self, kept: dict[str, bytes], pieces: list[str], before: str) -> None:
-        """Adds the ids of new pieces. They are encoded as one text, cut again at a lone token."""
+    def _learn(self, kept: Memory, pieces: list[str], before: str) -> dict[str, bytes]:
+        """The ids of new pieces, remembered. They are encoded as one text, cut again at a lone token."""
         import numpy as np
 
+        new: dict[str, bytes] = {}
         mark = "~" if self.kind == "word" else "\n"
         plain = [p for p in pieces if p and mark not in p and not p.isspace()]
         ids = np.frombuffer(self.whole([f" {mark} ".join(plain) if mark == "~" else mark.join(before + p for p in plain)])[0], "<u4")
@@ -65,9 +67,11 @@ class Encoder:
         if plain and len(ends) == len(plain) - 1:
             starts = [0, *(ends + 1).tolist()]
             raw = ids.tobytes()
-            kept.update((p, raw[4 * a : 4 * b]) for p, a, b in zip(plain, starts, [*ends.tolist(), len(ids)]))
-            pieces = [p for p in pieces if p not in kept]
-        kept.update(zip(pieces, self.whole([p if p[:1] == "\n" else before + p for p in pieces])))
+            new.update((p, raw[4 * a : 4 * b]) for p, a, b in zip(plain, starts, [*ends.tolist(), len(ids)]))
+            pieces = [p for p in pieces if p not in new]
+        new.update(zip(pieces, self.whole([p if p[:1] == "\n" else before + p for p in pieces])))
+        kept.add(new)
+        return new
 
     def _cut(self, text: str):
         """(first piece, later pieces), or None if the text must be encoded whole."""
@@ -98,21 +102,23 @@ class Encoder:
             start = end
         return out
 
+    def _known(self, kept: Memory, rows: list[list[str]], before: str) -> list[list[bytes]]:
+        """Ids of the pieces of each row."""
+        found = [kept.find(pieces) for pieces in rows]
+        lacking = [i for i, ids in enumerate(found) if None in ids]
+        new = self._learn(kept, list({p for i in lacking for p, ids in zip(rows[i], found[i]) if ids is None}), before)
+        for i in lacking:
+            found[i] = [new[p] if ids is None else ids for p, ids in zip(rows[i], found[i])]
+        kept.age()
+        return found
+
     def _encode(self, texts: list[str]) -> list[bytes]:
-        if len(self.first) + len(self.later) > REMEMBERED:
-            self.first.clear()
-            self.later.clear()
         cuts = [self._cut(t) for t in texts]
-        self._learn(self.first, list({c[0] for c in cuts if c} - self.first.keys()), "")
-        get = self.later.get
-        found = [list(map(get, c[1])) if c else None for c in cuts]
-        lacking = [i for i, ids in enumerate(found) if ids is not None and None in ids]
-        new = {p for i in lacking for p, ids in zip(cuts[i][1], found[i]) if ids is None}
-        self._learn(self.later, list(new), "" if self.kind == "word" else " ")
-        for i in lacking:
-            found[i] = map(get, cuts[i][1])
+        cut = [c for c in cuts if c]
+        firsts = iter(self._known(self.first, [[first] for first, _ in cut], ""))
+        laters = iter(self._known(self.later, [later for _, later in cut], "" if self.kind == "word" else " "))
         wholes = iter(self.whole([t for t, c in zip(texts, cuts) if not c]))
-        return [self.first[c[0]] + b"".join(ids) if c else next(wholes) for c, ids in zip(cuts, found)]
+        return [next(firsts)[0] + b"".join(next(laters)) if c else next(wholes) for c in cuts]
 
 
 def encoded(column, encode, at_once: int = 256):
