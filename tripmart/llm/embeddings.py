@@ -1,16 +1,16 @@
-"""Near-duplicate vectors of one label: all pairs or sorted projection passes, then exact degrees.
-
-1. Equal vectors of a label are one node. A label of up to ALL_PAIRS nodes is cut into blocks of about
-   SIDE, and all pairs of blocks are compared: nothing is missed, however close its vectors lie. A
-   block pair gives the trees of its linked vectors, not all links.
-   In larger labels, in every pass a node gets KEY_BITS random hyperplane signs,
-   and nodes are put in order of (label, dimension, concatenated signs): a range exchange and a sort.
-   Each node is compared with the WINDOW nodes before it; the rows at the ends of neighbouring
-   partitions are compared in a small second step. Verified pairs of all passes are united.
-2. The number of passes follows from the size of the largest such label: two vectors at the threshold share
-   enough leading signs to come within a window with a probability that falls as the label grows, and
-   the passes make the chance of missing them in all passes MISSED at most, if the label's vectors
-   spread evenly around zero. Where they share a direction, more are missed.
+"""Near-duplicate vectors of one label by sorted projection passes, then exact degrees.
+
+1. Equal vectors of a label are one node. In every pass a node gets KEY_BITS signs: on which side of
+   random hyperplanes through its label's mean direction it lies. Nodes are put in order of (label,
+   dimension, concatenated signs): a range exchange and a sort. Each node is compared with the WINDOW nodes
+   before it; the rows at the ends of neighbouring partitions are compared in a small second step. Verified
+   pairs of all passes are united.
+2. Each label has as many passes as its size and its spread call for. Both are measured: the mean of its
+   unit vectors tells how far they lie from their centre, and so at what angle, seen from there, two
+   vectors at the threshold stand. They come within a window of a label of n nodes if they share about
+   log2(n / WINDOW) + 1 signs, and the passes leave them unseen in all passes with probability MISSED.
+   The angle is taken as WIDEST at most. Labels so tight that it would be more (a mean cosine above 0.86
+   at a threshold of 0.93) hold mostly linked vectors; a lone pair among them may be missed more often.
 3. Links inside a component are then counted exactly. Members are put in shells by their angle to the
    component's mean direction. Two shells whose angles add up to less than the threshold's angle are
    linked throughout, two whose angles differ by more not at all; only other shells are compared, in
@@ -37,20 +37,34 @@ COSINE = 0.93
 WINDOW = 64
 KEY_BITS = 48
 MISSED = 1e-6
-#: Nodes of a block and of a label whose blocks are all compared: a node then travels 64 times at most.
-SIDE = 4096
-ALL_PAIRS = 64 * SIDE
-STRIP = 1024
+WIDEST = math.pi / 3
+#: Passes whose signs are taken at once.
+AT_ONCE = 32
 #: Shells per angle of the threshold, and rows of a block on average.
 SHELLS = 16
 BLOCK = 512
 
 
-def passes_for(largest: int, cosine: float = COSINE, window: int = WINDOW, missed: float = MISSED) -> int:
-    """Passes that leave a pair at the threshold unseen with probability `missed`."""
-    same = 1 - math.acos(cosine) / math.pi
-    one = same ** max(1.0, math.log2(max(2.0, largest / window)) + 1)
-    return max(4, math.ceil(math.log(missed) / math.log(1 - one)))
+def _passes(n, spread, cosine: float, window: int, missed: float = MISSED):
+    """Passes of a label of `n` nodes; `spread` is their mean squared distance from their centre."""
+    apart = F.acos(F.greatest(F.lit(math.cos(WIDEST)), 1 - (1 - cosine) / F.greatest(spread, F.lit(1e-12))))
+    signs = F.log2(F.greatest(n / window, F.lit(1.0))) + 1
+    one = F.pow(1 - apart / math.pi, signs)
+    return F.greatest(F.lit(4), F.ceil(math.log(missed) / F.log(1 - one))).cast("int")
+
+
+def _centres(nodes: DataFrame, cosine: float, window: int) -> DataFrame:
+    """Per label and dimension the mean of the unit vectors and the number of passes. One row per label."""
+    unit = F.transform("vec", lambda x: x / F.sqrt(F.aggregate("vec", F.lit(0.0), lambda s, y: s + y * y)))
+    cells = nodes.select("label", F.size("vec").alias("dim"), F.posexplode(unit).alias("at", "x"))
+    means = cells.groupBy("label", "dim", "at").agg(F.avg("x").alias("x"), F.count(F.lit(1)).alias("n"))
+    rows = means.groupBy("label", "dim").agg(
+        F.array_sort(F.collect_list(F.struct("at", "x"))).alias("c"), F.first("n").alias("n"), (1 - F.sum(F.col("x") * F.col("x"))).alias("spread")
+    )
+    return rows.select(
+        F.col("label").alias("_label"), F.col("dim").alias("_dim"), F.transform("c", lambda s: s["x"]).alias("centre"),
+        _passes(F.col("n"), F.col("spread"), cosine, window).alias("passes"),
+    )
 
 
 def _matrix(column):
@@ -61,30 +75,40 @@ def _matrix(column):
     return [values[a:b] for a, b in zip(ends[:-1], ends[1:])]
 
 
-def _keyed(batches, passes: int):
-    """A row per node and pass with its sort key."""
+def _keyed(batches):
+    """A row per node and pass with its sort key. Rows: (node, label, vec, centre, passes)."""
     import numpy as np
     import pyarrow as pa
 
     planes: dict = {}
+
+    def signs(n: int, first: int):
+        if (n, first) not in planes:
+            planes[n, first] = np.random.default_rng([5, first]).standard_normal((n, AT_ONCE * KEY_BITS))
+        return planes[n, first]
+
     weights = 1 << np.arange(KEY_BITS - 1, -1, -1, dtype=np.int64)
+    names = ["pass", "label", "dim", "key", "node", "vec"]
     for batch in batches:
         for at in range(0, len(batch), 500):
             part = batch.slice(at, 500)
             part = pa.RecordBatch.from_arrays([pa.concat_arrays([c]) for c in part.columns], names=part.schema.names)
-            vectors = _matrix(part.column(2))
-            keys = np.zeros((len(vectors), passes), np.int64)
-            for n in {len(v) for v in vectors}:
-                if n not in planes:
-                    planes[n] = np.random.default_rng(5).standard_normal((n, passes * KEY_BITS))
-                rows = [i for i, v in enumerate(vectors) if len(v) == n]
-                signs = np.stack([vectors[i] for i in rows]) @ planes[n] > 0
-                keys[rows] = signs.reshape(len(rows), passes, KEY_BITS) @ weights
-            for k in range(passes):
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array([k] * len(part), pa.int32()), part.column(1), pa.array([len(v) for v in vectors], pa.int32()), pa.array(keys[:, k]), part.column(0), part.column(2)],
-                    names=["pass", "label", "dim", "key", "node", "vec"],
-                )
+            vectors, centres = _matrix(part.column(2)), _matrix(part.column(3))
+            passes = part.column(4).to_numpy()
+            sizes = np.array([len(v) for v in vectors])
+            for n in np.unique(sizes).tolist():
+                rows = np.flatnonzero(sizes == n)
+                x = np.stack([vectors[i] / np.linalg.norm(vectors[i]) - centres[i] for i in rows])
+                for first in range(0, int(passes[rows].max()), AT_ONCE):
+                    keys = (x @ signs(n, first) > 0).reshape(len(rows), AT_ONCE, KEY_BITS) @ weights
+                    for k in range(AT_ONCE):
+                        takes = passes[rows] > first + k
+                        if takes.any():
+                            own = part.take(pa.array(rows[takes]))
+                            yield pa.RecordBatch.from_arrays(
+                                [pa.array([first + k] * len(own), pa.int32()), own.column(1), pa.array([n] * len(own), pa.int32()), pa.array(keys[takes, k]), own.column(0), own.column(2)],
+                                names=names,
+                            )
 
 
 def _compared(rows: list, fresh: int, window: int, cosine: float):
@@ -159,70 +183,6 @@ def _seams(batches, window: int, cosine: float):
     yield pa.RecordBatch.from_pylist([{"a": a, "b": b} for a, b in _compared(rows, 0, window, cosine)], schema=schema)
 
 
-def _trees(near):
-    """Pairs (row, row or len(rows) + column) that connect what the links of a matrix connect."""
-    import numpy as np
-
-    rows, columns = near.shape
-    if near.sum() <= 2 * (rows + columns):
-        found = np.argwhere(near)
-        return found[:, 0], found[:, 1] + rows
-    a, b = [], []
-    left = near.any(axis=1)
-    while left.any():
-        root = int(np.argmax(left))
-        held, met = np.zeros(rows, bool), np.zeros(columns, bool)
-        fresh = np.zeros(rows, bool)
-        fresh[root] = True
-        while fresh.any():
-            held |= fresh
-            new = near[fresh].any(axis=0) & ~met
-            met |= new
-            fresh = near[:, new].any(axis=1) & ~held
-        left &= ~held
-        others = np.concatenate([np.flatnonzero(held), np.flatnonzero(met) + rows])
-        a.append(np.full(len(others), root))
-        b.append(others)
-    return np.concatenate(a), np.concatenate(b)
-
-
-def _all_pairs(batches, cosine: float):
-    """Edges of block pairs; rows come in order of (label, dim, u, v)."""
-    import numpy as np
-    import pyarrow as pa
-
-    names = ("label", "dim", "u", "v", "own", "node")
-    key, lefts, rights = None, [], []
-
-    def finish():
-        one, other = lefts, lefts if key[2] == key[3] else rights
-        if not one or not other:
-            return
-        x, y = np.stack([r[1] for r in one]), np.stack([r[1] for r in other])
-        out: tuple[list, list] = ([], [])
-        for i in range(0, len(x), STRIP):
-            for j in range(i if one is other else 0, len(y), STRIP):
-                near = x[i : i + STRIP] @ y[j : j + STRIP].T >= cosine
-                if one is other and i == j:
-                    np.fill_diagonal(near, False)
-                for a, b in zip(*_trees(near)):
-                    out[0].append(one[i + a][0])
-                    out[1].append(one[i + b][0] if b < len(near) else other[j + b - len(near)][0])
-        if out[0]:
-            yield pa.RecordBatch.from_arrays([pa.array(c, pa.binary()) for c in out], names=["a", "b"])
-
-    for batch in batches:
-        columns = [batch.column(batch.schema.get_field_index(c)).to_pylist() for c in names]
-        for *group, own, node, vector in zip(*columns, _matrix(batch.column(batch.schema.get_field_index("vec")))):
-            if group != key:
-                if key is not None:
-                    yield from finish()
-                key, lefts, rights = group, [], []
-            (lefts if own == group[2] else rights).append((node, vector / np.linalg.norm(vector)))
-    if key is not None:
-        yield from finish()
-
-
 def _degrees(batches, cosine: float):
     """For blocks that lie together: how many vectors each left row is linked with."""
     import numpy as np
@@ -269,14 +229,7 @@ def near_vectors(vectors: DataFrame, cosine: float = COSINE, window: int = WINDO
         F.first("label").alias("label"), F.first("vec").alias("vec"), F.count(F.lit(1)).alias("copies"), F.min("vec_id").alias("first_id")
     )
     nodes = stored.put(nodes)
-    sizes = nodes.groupBy("label", F.size("vec").alias("dim")).agg(F.count(F.lit(1)).alias("n"))
-    sizes = stored.put(sizes.select(F.col("label").alias("_label"), F.col("dim").alias("_dim"), "n"))
-    met = (F.col("label") == F.col("_label")) & (F.size("vec") == F.col("_dim"))
-    sized = nodes.join(broadcast_if_small(sizes), met)
-    edges = _block_links(sized.where(F.col("n") <= ALL_PAIRS), cosine)
-    largest = sizes.agg(F.max("n")).first()[0] or 0
-    if largest > ALL_PAIRS:
-        edges = edges.unionByName(_hashed_links(sized.where(F.col("n") > ALL_PAIRS), largest, stored, cosine, window))
+    edges = _links(nodes, stored, cosine, window)
     label = components(edges, stored)
     degrees = _exact_degrees(nodes.join(label, "node"), stored, cosine)
     named = nodes.select("node", "copies", "first_id").join(label, "node", "left").withColumn("component", F.coalesce("component", "node"))
@@ -291,19 +244,12 @@ def near_vectors(vectors: DataFrame, cosine: float = COSINE, window: int = WINDO
     )
 
 
-def _block_links(sized: DataFrame, cosine: float) -> DataFrame:
-    """Edges (a, b) that connect all linked nodes of labels, by all pairs of blocks."""
-    blocks = F.ceil(F.col("n") / SIDE)
-    own = sized.withColumn("own", F.pmod(F.xxhash64("node"), blocks)).withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), blocks - 1)))
-    key = ["label", "dim", "u", "v"]
-    placed = own.select("label", F.size("vec").alias("dim"), F.least("own", "other").alias("u"), F.greatest("own", "other").alias("v"), "own", "node", "vec")
-    return placed.repartition(*key).sortWithinPartitions(*key).mapInArrow(partial(_all_pairs, cosine=cosine), "a binary, b binary")
-
-
-def _hashed_links(hashed: DataFrame, largest: int, stored: Stored, cosine: float, window: int) -> DataFrame:
-    keyed = hashed.select("node", "label", "vec").mapInArrow(
-        partial(_keyed, passes=passes_for(largest, cosine, window)),
-        "pass int, label string, dim int, key bigint, node binary, vec array<double>",
+def _links(nodes: DataFrame, stored: Stored, cosine: float, window: int) -> DataFrame:
+    """Verified pairs (a, b) of all passes."""
+    centres = stored.put(_centres(nodes, cosine, window))
+    met = (F.col("label") == F.col("_label")) & (F.size("vec") == F.col("_dim"))
+    keyed = nodes.join(broadcast_if_small(centres), met).select("node", "label", "vec", "centre", "passes").mapInArrow(
+        _keyed, "pass int, label string, dim int, key bigint, node binary, vec array<double>"
     )
     # Single precision in the exchange would change cosines, so doubles travel
     order = ["pass", "label", "dim", "key", "node"]
