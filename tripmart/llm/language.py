@@ -14,7 +14,6 @@ are not looked at.
 
 from __future__ import annotations
 
-import re
 from dataclasses import dataclass
 from functools import partial
 
@@ -132,11 +131,10 @@ def fit(learned: DataFrame) -> Centroids | None:
 def _predicted(batches, model: Centroids | None):
     import pyarrow as pa
 
-    letter = re.compile(r"[^\W\d_]").search
     for batch in batches:
         names, scores, rejected = [], [], []
         for text in _texts(batch, 1):
-            if model is None or not text or not letter(text):
+            if model is None or not text or not any(map(str.isalpha, text)):
                 names.append("und")
                 scores.append(0.0)
                 rejected.append(True)
