@@ -57,6 +57,17 @@ class Stored:
             _delete(self.spark, path)
 
 
+def free_names(df: DataFrame, *names: str) -> list[str]:
+    """The names, each with as many underscores more as it takes to be unlike every column of `df`."""
+    taken, free = {c.lower() for c in df.columns}, []
+    for name in names:
+        while name.lower() in taken:
+            name += "_"
+        taken.add(name.lower())
+        free.append(name)
+    return free
+
+
 def worker_state() -> dict:
     """A dict that lives as long as the Python worker: shipped functions have no lasting globals."""
     return sys.modules.setdefault("_llm_worker_state", types.ModuleType("_llm_worker_state")).__dict__

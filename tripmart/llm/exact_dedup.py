@@ -20,7 +20,7 @@ import uuid
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tripmart.llm.common import scratch_path
+from tripmart.llm.common import free_names, scratch_path
 
 BUCKETS = 64
 #: A digest with more than this share of all rows is hot; there are at most 1 / HOT_SHARE of them.
@@ -113,15 +113,16 @@ def deduplicate(docs: DataFrame) -> DataFrame:
 
     Repeated rows are looked for by id and digest; only where there are any are whole rows grouped.
     """
+    own_id, own_digest, text = free_names(docs, "_llm_id", "_llm_digest", "_llm_text")
     dropped = exact_dedup(docs).where(~F.col("kept")).select(
-        F.col("doc_id").alias("_llm_id"), F.unhex("text_sha256").alias("_llm_digest")
+        F.col("doc_id").alias(own_id), F.unhex("text_sha256").alias(own_digest)
     ).distinct()
-    kept = docs.withColumn("_llm_text", digest(F.col("text"))).join(
+    kept = docs.withColumn(text, digest(F.col("text"))).join(
         dropped,
-        F.col("doc_id").cast("long").eqNullSafe(F.col("_llm_id")) & (F.col("_llm_text") == F.col("_llm_digest")),
+        F.col("doc_id").cast("long").eqNullSafe(F.col(own_id)) & (F.col(text) == F.col(own_digest)),
         "left_anti",
     )
     rows = docs.select("doc_id", digest(F.col("text")).alias("_digest"))
     if not rows.groupBy("doc_id", "_digest").count().where("count > 1").isEmpty():
-        kept = kept.dropDuplicates(["_llm_text"])
-    return kept.drop("_llm_text")
+        kept = kept.dropDuplicates([text])
+    return kept.drop(text)

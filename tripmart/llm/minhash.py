@@ -27,7 +27,7 @@ from functools import partial
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tripmart.llm.common import Stored, components
+from tripmart.llm.common import Stored, components, free_names
 from tripmart.llm.words import mix, slices, string_bytes, word_hashes
 
 PERMUTATIONS = 96
@@ -274,5 +274,6 @@ def deduplicate(docs: DataFrame, **parameters) -> DataFrame:
     dropped = minhash_near_dedup(docs, **parameters).where(
         ~F.col("kept") & F.col("component_id").isNotNull() & F.col("doc_id").isNotNull()
     )
-    dropped = dropped.select(F.col("doc_id").alias("_llm_id")).distinct()
-    return docs.join(dropped, F.col("doc_id").cast("long") == F.col("_llm_id"), "left_anti")
+    (own_id,) = free_names(docs, "_llm_id")
+    dropped = dropped.select(F.col("doc_id").alias(own_id)).distinct()
+    return docs.join(dropped, F.col("doc_id").cast("long") == F.col(own_id), "left_anti")

@@ -18,6 +18,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tripmart.llm.common import free_names
 from tripmart.operators.dimensions import broadcast_if_small
 
 SEED = 7
@@ -85,16 +86,20 @@ def poisson_steps(rate: Column) -> Column:
 def mix(
     docs: DataFrame, targets: dict[str, float] | None = None, temperature: float = TEMPERATURE, seed: int = SEED
 ) -> DataFrame:
-    """All columns of `docs` and `_replica` (from 0) and `_order`, in the order of `_order`."""
+    """All columns of `docs` and `_replica` (from 0) and `_order`, in the order of `_order`.
+
+    The two names get underscores more where `docs` has such columns; they are the last ones in any case.
+    """
+    source, least, cuts, count, replica, order = free_names(docs, "_source", "_least", "_steps", "_times", "_replica", "_order")
     rates = source_rates(docs, targets, temperature)
-    steps = broadcast_if_small(rates.select(F.col("source").alias("_source"), first_step(F.col("rate")).alias("_least"), poisson_steps(F.col("rate")).alias("_steps")))
-    joined = docs.join(steps, F.col("source").eqNullSafe(F.col("_source")), "left")
+    steps = broadcast_if_small(rates.select(F.col("source").alias(source), first_step(F.col("rate")).alias(least), poisson_steps(F.col("rate")).alias(cuts)))
+    joined = docs.join(steps, F.col("source").eqNullSafe(F.col(source)), "left")
     draw = uniform(F.lit("count"), F.lit(seed), F.col("doc_id"))
     # A source of no volume holds empty documents only: they pass once
-    times = F.when(F.col("_steps").isNull(), F.lit(1)).otherwise(F.col("_least") + F.size(F.filter("_steps", lambda c: c <= draw)))
-    copies = joined.withColumn("_times", times).where("_times > 0").withColumn(
-        "_replica", F.explode(F.sequence(F.lit(0), F.col("_times") - 1))
+    times = F.when(F.col(cuts).isNull(), F.lit(1)).otherwise(F.col(least) + F.size(F.filter(cuts, lambda c: c <= draw)))
+    copies = joined.withColumn(count, times).where(F.col(count) > 0).withColumn(
+        replica, F.explode(F.sequence(F.lit(0), F.col(count) - 1))
     )
-    order = uniform(F.lit("order"), F.lit(seed), F.col("doc_id"), F.col("_replica"))
-    placed = copies.select(*[docs[c] for c in docs.columns], "_replica", order.alias("_order"))
-    return placed.repartitionByRange(F.col("_order")).sortWithinPartitions("_order")
+    key = uniform(F.lit("order"), F.lit(seed), F.col("doc_id"), F.col(replica))
+    placed = copies.select(*[docs[c] for c in docs.columns], replica, key.alias(order))
+    return placed.repartitionByRange(F.col(order)).sortWithinPartitions(order)
