@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import SparkSession
 
-# Nothing here fixes a cluster's size: AQE starts from `initialPartitionNum` and merges partitions
+# Nothing here fixes a cluster's size: AQE starts from the shuffle partitions and merges them
 # by the advisory size. It splits skewed joins and rebalanced writes, never an aggregate's exchange.
 SETTINGS = {
     "spark.sql.session.timeZone": "UTC",
