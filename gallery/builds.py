@@ -15,7 +15,7 @@ from tripmart.plans import flows, registry, suites
 from tripmart.plans.marts import stack
 from tripmart.plans.staging import SERVICES
 from tripmart.plans.staleness import stale_months
-from tripmart.sources.lake import footer_counts, partition_times
+from tripmart.sources.lake import footer_counts, list_partitions, partition_times
 from tripmart.workspace import new_workspace
 from tripmart.plans.registry import MONTHLY_MARTS, STAGED_SERVICES, Lake
 
@@ -135,6 +135,20 @@ def marts_reconcile(spark, sf_dir):
     )
 
 
+@query(
+    "v08_months_reconcile",
+    """WITH impact AS (SELECT partition_date, count(*) AS n FROM weather_impact GROUP BY 1),
+        months AS (SELECT partition_date, count(*) AS n FROM trips GROUP BY 1)
+        SELECT 'weather_daily' AS mart, i.partition_date AS partition_value, i.n AS mart_trips,
+            coalesce(m.n, 0) AS trips
+        FROM impact i LEFT JOIN months m USING (partition_date) WHERE i.n <> coalesce(m.n, 0)""",
+)
+def months_reconcile(spark, sf_dir):
+    """The same by month: trips counted by footers, the weather mart by its monthly summary."""
+    lake = stored.built_lake(spark, sf_dir)
+    return flows.unreconciled_months(lake, list_partitions(spark, lake.location("weather_impact")))
+
+
 # --- all declared tests ---------------------------------------------------------------------
 
 _SOURCES = {

@@ -2,18 +2,19 @@
 
 from __future__ import annotations
 
+from dataclasses import replace
 from datetime import datetime
 
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from gallery import fixture
+from gallery import fixture, stored
 from gallery.common import rounded, to_six
 from gallery.registry import query
-from gallery.sql import later
+from gallery.sql import clean, later
 from tripmart.operators import checks, quality
 from tripmart.operators.dimensions import broadcast_if_small, with_zones
-from tripmart.plans import dashboard, marts
+from tripmart.plans import dashboard, marts, suites
 
 TIMES = ("tpep_pickup_datetime", "tpep_dropoff_datetime")
 
@@ -33,9 +34,10 @@ def _kept(name, sql, service, columns, condition):
 _YELLOW = ("VendorID", *TIMES, "PULocationID", "trip_distance", "fare_amount", "passenger_count")
 _YELLOW_SQL = f"SELECT {', '.join(_YELLOW)} FROM raw_yellow WHERE "
 
+# Fixed rules: which records count as trips
 _kept(
     "p01_times_present",
-    _YELLOW_SQL + f"NOT ({TIMES[0]} IS NULL OR {TIMES[1]} IS NULL)",
+    _YELLOW_SQL + f"{TIMES[0]} IS NOT NULL AND {TIMES[1]} IS NOT NULL",
     "yellow_taxi",
     _YELLOW,
     lambda: quality.present(*TIMES),
@@ -49,21 +51,21 @@ _kept(
 )
 _kept(
     "p03_zones_present",
-    _YELLOW_SQL + "PULocationID + DOLocationID IS NOT NULL",
+    _YELLOW_SQL + "PULocationID IS NOT NULL AND DOLocationID IS NOT NULL",
     "yellow_taxi",
     _YELLOW,
     lambda: quality.present("PULocationID", "DOLocationID"),
 )
 _kept(
     "p04_positive_amounts",
-    _YELLOW_SQL + "least(trip_distance, fare_amount, total_amount) > 0",
+    _YELLOW_SQL + "trip_distance > 0 AND fare_amount > 0 AND total_amount > 0",
     "yellow_taxi",
     _YELLOW,
     lambda: quality.positive("trip_distance", "fare_amount", "total_amount"),
 )
 _kept(
     "p05_passengers",
-    _YELLOW_SQL + "coalesce(passenger_count, 1) > 0",
+    _YELLOW_SQL + "passenger_count IS NULL OR passenger_count > 0",
     "yellow_taxi",
     _YELLOW,
     lambda: quality.unknown_or_positive(F.col("passenger_count")),
@@ -103,6 +105,57 @@ def quality_rules(spark, sf_dir):
     )
 
 
+_NARROW = quality.Limits(min_minutes=2, max_minutes=120, max_miles=50, max_fare=500)
+_NARROW_SQL = {"minutes": (2, 120), "miles": 50, "most": 500}
+
+
+@query(
+    "p07_build_with_limits",
+    " UNION ALL ".join(
+        f"SELECT '{service}' AS taxi_type, partition_date, count(*) AS trips, "
+        f"max(trip_duration_minutes) AS longest, max({miles}) AS farthest "
+        f"FROM ({clean(table, fare, miles != 'NULL::DOUBLE', **_NARROW_SQL)}) WHERE pickup_borough IS NOT NULL GROUP BY ALL"
+        for service, table, fare, miles in (
+            ("yellow_taxi", "stg_yellow", "total_amount", "trip_distance_miles"),
+            ("green_taxi", "stg_green", "total_amount", "trip_distance_miles"),
+            ("app_rides", "stg_app", None, "NULL::DOUBLE"),
+            ("high_volume_fhv", "stg_hv", "base_passenger_fare", "trip_distance_miles"),
+        )
+    ),
+)
+def build_with_limits(spark, sf_dir):
+    """The trips mart of a lake that sets its own limits, from stored staging."""
+    lake = replace(stored.staged_lake(spark, sf_dir), limits=_NARROW)
+    return lake.plan("trips").groupBy("taxi_type", "partition_date").agg(
+        F.count(F.lit(1)).alias("trips"),
+        F.max("trip_duration_minutes").alias("longest"),
+        F.max("trip_distance_miles").alias("farthest"),
+    )
+
+
+@query(
+    "p07_tests_with_limits",
+    """SELECT 'trip_duration_minutes' AS tested,
+            (SELECT count(*) FROM trips WHERE trip_duration_minutes NOT BETWEEN 2 AND 120) AS usual_mart, 0 AS own_mart
+        UNION ALL SELECT 'trip_distance_miles',
+            (SELECT count(*) FROM trips WHERE trip_distance_miles > 50), 0""",
+)
+def tests_with_limits(spark, sf_dir):
+    """Tests that follow a build's limits: failures in the mart of the usual limits, and in its own."""
+    lake = stored.staged_lake(spark, sf_dir)
+    suite = [c for c in suites.final(_NARROW)["trips"] if c.column in ("trip_duration_minutes", "trip_distance_miles")]
+    found = [
+        checks.run_checks(one.plan("trips"), suite).select(
+            F.regexp_replace("check", "accepted_range_", "").alias("tested"),
+            *[(F.col("failures") if name == own else F.lit(0)).cast("bigint").alias(name) for name in ("usual_mart", "own_mart")],
+        )
+        for own, one in (("usual_mart", lake), ("own_mart", replace(lake, limits=_NARROW)))
+    ]
+    return marts.stack(found).groupBy("tested").agg(
+        F.sum("usual_mart").alias("usual_mart"), F.sum("own_mart").alias("own_mart")
+    )
+
+
 _CLEAN_SQL = " UNION ALL ".join(
     f"SELECT '{s}' AS taxi_type, partition_date, pickup_datetime, trip_duration_minutes FROM {t}"
     for s, t in (

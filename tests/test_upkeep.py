@@ -2,18 +2,22 @@
 
 from __future__ import annotations
 
+from dataclasses import replace
 from datetime import date
 
 import pytest
 from pyspark.sql import functions as F
 
-from tests.lake import MONTHS, ROWS, land_month, make_lake
+from tests.lake import MONTHS, ROWS, land_month, make_lake, raw_month
+from tripmart.functions.codes import translate
 from tripmart.operators import checks
 from tripmart.operators.checks import ChecksFailed
+from tripmart.operators.quality import Limits
 from tripmart.operators.sinks import write_lake
 from tripmart.paths import PARTITION, raw_path, under
 from tripmart.plans import flows, marts
 from tripmart.plans.registry import MODELS, Lake
+from tripmart.plans.staging import SERVICES, STAGERS
 from tripmart.sources.lake import counted_by_footers, footer_counts, list_files, list_partitions, path_exists
 
 
@@ -187,3 +191,86 @@ def test_rows_of_one_hash_are_told_apart(spark, monkeypatch):
     monkeypatch.setattr(F, "xxhash64", lambda *columns: F.lit(7).cast("bigint") + F.col("a") * 0 if isinstance(columns[0], str) else F.lit(7).cast("bigint") + columns[0] * 0)
     df = spark.createDataFrame([(1, "a"), (1, "b"), (1, "b"), (2, None), (2, None)], "a int, b string")
     assert [r[0] for r in checks.duplicate_rows(df).collect()] == [2]
+
+
+# --- reconciliation by month ----------------------------------------------------------------
+
+
+def test_months_are_reconciled_one_by_one(spark, staged, tmp_path):
+    """Errors of two months that cancel out in the totals are found, in the built months only."""
+    lake = own_models(spark, staged, tmp_path)
+    flows.build_final(lake)
+    assert rows(flows.unreconciled_months(lake, list(MONTHS))) == []
+    hourly = lake.read("trips_hourly")
+    sign = F.when(F.col(PARTITION) == date.fromisoformat(MONTHS[0]), 1).when(F.col(PARTITION) == date.fromisoformat(MONTHS[1]), -1).otherwise(0)
+    first = hourly.groupBy(PARTITION).agg(F.min("pickup_hour").alias("first"))
+    moved = hourly.join(first, PARTITION).groupBy("pickup_hour", PARTITION).agg(F.sum("trips").alias("trips"), F.max("first").alias("first"))
+    moved = moved.withColumn("trips", F.col("trips") + F.when(F.col("pickup_hour") == F.col("first"), sign).otherwise(0))
+    flows.reconcile(lake, trips_hourly=moved)  # the totals still agree
+    found = rows(flows.unreconciled_months(lake, list(MONTHS), trips_hourly=moved))
+    assert [(m, day.isoformat(), n - of) for m, day, n, of in found] == [("trips_hourly", MONTHS[0], 1), ("trips_hourly", MONTHS[1], -1)]
+    assert rows(flows.unreconciled_months(lake, [MONTHS[2]], trips_hourly=moved)) == []
+    with pytest.raises(ChecksFailed, match="trips_hourly"):
+        flows.reconcile(lake, [MONTHS[1]], trips_hourly=moved)
+    fewer = lake.read("weather_daily").withColumn("trips", F.col("trips") - 1)
+    whole = rows(flows.unreconciled_months(lake, [MONTHS[0]], weather_daily=fewer))
+    assert [(r[0], r[1]) for r in whole] == [("weather_daily", None)]
+    gone = rows(flows.unreconciled_months(lake, [MONTHS[2]], trips_hourly=hourly.where(F.col(PARTITION) < date.fromisoformat(MONTHS[2]))))
+    assert [(r[0], r[2]) for r in gone] == [("trips_hourly", 0)]
+
+
+def test_built_months_are_tested_by_default(spark, staged, tmp_path, monkeypatch):
+    lake = own_models(spark, staged, tmp_path)
+    flows.build_final(lake)
+    write_lake(lake.read("stg_green_taxi", [MONTHS[1]]).limit(9), lake.location("stg_green_taxi"), months=[MONTHS[1]])
+    tested = {}
+
+    def seen(lake, name, months=None, rows=None):
+        tested[name] = sorted({r[0].isoformat() for r in rows.select(PARTITION).distinct().collect()} if PARTITION in rows.columns else [])
+
+    monkeypatch.setattr(flows, "check_model", seen)
+    assert flows.build_final(lake) == [MONTHS[1]]
+    assert tested["trips"] == tested["trips_hourly"] == [MONTHS[1]] and len(tested) == 6
+
+
+# --- limits of a build ----------------------------------------------------------------------
+
+
+def test_a_build_follows_its_limits(spark, staged, tmp_path):
+    """Narrower and wider limits than the usual ones, through the marts and their tests."""
+    usual = own_models(spark, staged, tmp_path)
+    flows.build_final(usual)
+    narrow = replace(usual, limits=Limits(max_minutes=30, max_miles=10, max_fare=40))
+    with pytest.raises(ChecksFailed, match="accepted_range_trip_duration_minutes"):
+        flows.check_model(narrow, "trips")
+    assert flows.build_final(narrow, full_refresh=True) == list(MONTHS)
+    trips = narrow.read("trips")
+    longest, farthest = trips.agg(F.max("trip_duration_minutes"), F.max("trip_distance_miles")).first()
+    assert 20 < longest <= 30 and farthest == 10
+    assert narrow.read("revenue").agg(F.max("total_amount")).first()[0] <= 40 + 2.5
+    assert narrow.read("weather_impact").count() == trips.count()
+    wide = replace(usual, limits=Limits(max_minutes=10_000, max_miles=10_000, max_fare=10_000))
+    long = staged.read("stg_green_taxi").withColumns({"trip_duration_minutes": F.lit(900.0), "total_amount": F.lit(5000.0), "trip_distance_miles": F.lit(700.0)})
+    write_lake(long, usual.location("stg_green_taxi"))
+    assert wide.plan("trips").where("trip_duration_minutes = 900 and fare_amount = 5000").count() == long.count() > 0
+    assert usual.plan("trips").where("trip_duration_minutes = 900").isEmpty()
+    with pytest.raises(ValueError, match="no trip can meet"):
+        Limits(min_minutes=5, max_minutes=4)
+
+
+# --- raw columns with names of our own ------------------------------------------------------
+
+
+@pytest.mark.parametrize("service", SERVICES)
+def test_raw_columns_named_like_staged_ones(spark, service):
+    raw = raw_month(spark, service, MONTHS[0])
+    names = ["pickup_id", "DROPOFF_ID", "pickup_at", "dropoff_at", "vendor", "payment", "rate_code", "passengers", "location_id", "pickup_zone", "zone", "trip_duration_minutes"]
+    declared = {c.lower() for c in raw.columns}
+    more = raw.select("*", *[F.lit("x").alias(n) for n in names if n.lower() not in declared])
+    lookup = spark.createDataFrame([(n, f"Borough {n}", f"Zone {n}", "s") for n in range(1, 6)], "location_id int, borough string, zone string, service_zone string")
+    assert rows(STAGERS[service](more, lookup)) == rows(STAGERS[service](raw, lookup)) != []
+
+
+def test_quotes_in_code_names(spark):
+    df = spark.createDataFrame([(1,), (2,), (3,), (None,)], "code int")
+    assert [r[0] for r in df.select(translate("code", {1: "it's", 2: 'a\\"b'})).collect()] == ["it's", 'a\\"b', None, None]

@@ -70,5 +70,7 @@ SERVICE_LABELS = {
 
 def translate(code: str, names: Mapping[int | str, str]) -> Column:
     """The name for the code in a column; NULL for a code that is not listed."""
-    cases = " ".join(f"WHEN {value!r} THEN '{name}'" for value, name in names.items())
-    return F.expr(f"CASE {code} {cases} END")
+    named = F
+    for value, name in names.items():
+        named = named.when(F.col(code) == value, name)
+    return named

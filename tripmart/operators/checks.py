@@ -164,6 +164,32 @@ def unreconciled(trips: DataFrame, **marts: DataFrame) -> DataFrame:
     return compared.where(F.col("mart_trips") != F.col("trips"))
 
 
+def trips_by_partition(mart: DataFrame, column: str, measure: Column) -> DataFrame:
+    """One side of `unreconciled_partitions`."""
+    return mart.groupBy(F.col(column).alias("partition_value")).agg(measure.cast("bigint").alias("trips"))
+
+
+def unreconciled_partitions(trips: DataFrame, **marts: DataFrame) -> DataFrame:
+    """Marts and partitions whose trips do not add up to those of the trips table.
+
+    All sides have one row per partition (partition_value, trips); where one lacks it, it has no trips.
+    """
+    sides = [(None, trips), *marts.items()]
+    stacked = reduce(
+        DataFrame.unionByName,
+        [df.select(F.lit(name).cast("string").alias("mart"), "partition_value", "trips") for name, df in sides],
+    )
+    own, of_marts = F.sum(F.when(F.col("mart").isNull(), F.col("trips"))), []
+    for name in marts:
+        in_mart = F.coalesce(F.sum(F.when(F.col("mart") == name, F.col("trips"))), F.lit(0))
+        of_marts.append(F.struct(F.lit(name).alias("mart"), in_mart.alias("mart_trips")))
+    folded = stacked.groupBy("partition_value").agg(
+        F.array(*of_marts).alias("marts"), F.coalesce(own, F.lit(0)).alias("trips")
+    )
+    compared = folded.select("partition_value", F.inline("marts"), "trips")
+    return compared.select("mart", "partition_value", "mart_trips", "trips").where("mart_trips <> trips")
+
+
 # --- running a table's tests ----------------------------------------------------------------
 
 

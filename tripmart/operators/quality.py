@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from dataclasses import asdict, dataclass
 from functools import reduce
 
 from pyspark.sql import Column
@@ -16,6 +17,24 @@ MAX_MILES = 100
 MAX_FARE = 1000
 
 
+@dataclass(frozen=True)
+class Limits:
+    """Bounds of a plausible trip, which a build can set: marts and their tests follow them."""
+
+    min_minutes: float = MIN_MINUTES
+    max_minutes: float = MAX_MINUTES
+    max_miles: float = MAX_MILES
+    max_fare: float = MAX_FARE
+
+    def __post_init__(self):
+        wrong = [name for name, bound in asdict(self).items() if not bound >= 0]
+        if wrong or self.min_minutes > self.max_minutes:
+            raise ValueError(f"limits no trip can meet: {self}")
+
+
+USUAL = Limits()
+
+
 def all_of(conditions: list[Column]) -> Column:
     return reduce(lambda a, b: a & b, conditions)
 

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Mapping
+from dataclasses import asdict
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -13,7 +14,7 @@ from tripmart.functions.casts import to_day
 from tripmart.functions.labels import day_type
 from tripmart.functions.rounding import round_half_away
 from tripmart.operators.dimensions import broadcast_if_small
-from tripmart.operators.quality import clean_trip, present
+from tripmart.operators.quality import USUAL, Limits, clean_trip, present
 from tripmart.paths import PARTITION
 from tripmart.sources.lake import conform
 from tripmart.sources.schemas import FINAL
@@ -28,9 +29,9 @@ RULES = {
 METERED = ("yellow_taxi", "green_taxi")
 
 
-def clean(staged: DataFrame, service: str) -> DataFrame:
+def clean(staged: DataFrame, service: str, limits: Limits = USUAL) -> DataFrame:
     """Staged trips that pass the quality rules. Never stored: each mart reads what it needs."""
-    return staged.where(clean_trip(**RULES[service]))
+    return staged.where(clean_trip(**RULES[service], **asdict(limits)))
 
 
 def stack(branches: list[DataFrame]) -> DataFrame:
@@ -50,7 +51,7 @@ def whole_fare(service: str) -> Column:
     return F.lit(None).cast("double")
 
 
-def trips(staging: Mapping[str, DataFrame]) -> DataFrame:
+def trips(staging: Mapping[str, DataFrame], limits: Limits = USUAL) -> DataFrame:
     branches = []
     for service in RULES:
         known = {
@@ -61,12 +62,12 @@ def trips(staging: Mapping[str, DataFrame]) -> DataFrame:
             ),
             "passenger_count": F.col("passenger_count") if service in METERED else F.lit(None),
         }
-        rows = clean(staging[service], service).where(present("pickup_borough"))
+        rows = clean(staging[service], service, limits).where(present("pickup_borough"))
         branches.append(conform(rows.withColumns(known), FINAL["trips"]))
     return stack(branches)
 
 
-def revenue(staging: Mapping[str, DataFrame]) -> DataFrame:
+def revenue(staging: Mapping[str, DataFrame], limits: Limits = USUAL) -> DataFrame:
     branches = []
     for service in (*METERED, "high_volume_fhv"):
         metered = "fare_amount" if service in METERED else "base_passenger_fare"
@@ -75,7 +76,7 @@ def revenue(staging: Mapping[str, DataFrame]) -> DataFrame:
             "fare_amount": F.col(metered),
             "total_amount": whole_fare(service),
         }
-        rows = clean(staging[service], service).where(present("pickup_zone"))
+        rows = clean(staging[service], service, limits).where(present("pickup_zone"))
         branches.append(conform(rows.withColumns(known), FINAL["revenue"]))
     return stack(branches)
 
@@ -91,11 +92,11 @@ def daily_weather(hourly: DataFrame) -> DataFrame:
     )
 
 
-def dated_fares(staging: Mapping[str, DataFrame]) -> DataFrame:
+def dated_fares(staging: Mapping[str, DataFrame], limits: Limits = USUAL) -> DataFrame:
     """Every clean trip's day and fare, whether or not its zone is known."""
     return stack(
         [
-            clean(staging[service], service).select(
+            clean(staging[service], service, limits).select(
                 to_day(F.col("pickup_datetime")).alias("date"),
                 F.lit(service).alias("taxi_type"),
                 whole_fare(service).alias("fare_amount"),
@@ -106,9 +107,11 @@ def dated_fares(staging: Mapping[str, DataFrame]) -> DataFrame:
     )
 
 
-def weather_impact(staging: Mapping[str, DataFrame], hourly: DataFrame) -> DataFrame:
+def weather_impact(
+    staging: Mapping[str, DataFrame], hourly: DataFrame, limits: Limits = USUAL
+) -> DataFrame:
     days = broadcast_if_small(daily_weather(hourly))
-    return conform(dated_fares(staging).join(days, "date", "left"), FINAL["weather_impact"])
+    return conform(dated_fares(staging, limits).join(days, "date", "left"), FINAL["weather_impact"])
 
 
 def trips_hourly(all_trips: DataFrame) -> DataFrame:

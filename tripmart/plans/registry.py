@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tripmart.operators.dimensions import broadcast_if_small
+from tripmart.operators.quality import USUAL, Limits
 from tripmart.operators.sinks import publish, write_lake
 from tripmart.paths import (
     FINAL,
@@ -60,7 +61,7 @@ class Model:
     table: str
     layer: str
     depends_on: tuple[str, ...]
-    build: Callable[[Inputs], DataFrame]
+    build: Callable[[Inputs, Limits], DataFrame]
     path: str | None = None
     schema: str | None = None
     partition_by: str | None = None
@@ -79,7 +80,7 @@ def _staged_trips(service: str) -> Model:
         table=service,
         layer=STAGING,
         depends_on=(source, lookup),
-        build=lambda inputs: staging.STAGERS[service](inputs[source], inputs[lookup]),
+        build=lambda inputs, _: staging.STAGERS[service](inputs[source], inputs[lookup]),
         path=staging_path(service),
         schema=schemas.STAGING[service],
         partition_by=PARTITION,
@@ -93,14 +94,14 @@ def _clean_trips(service: str) -> Model:
         table=service,
         layer="intermediate",
         depends_on=(source,),
-        build=lambda inputs: marts.clean(inputs[source], service),
+        build=lambda inputs, limits: marts.clean(inputs[source], service, limits),
     )
 
 
 def _mart(
     name: str,
     depends_on: tuple[str, ...],
-    build: Callable[[Inputs], DataFrame],
+    build: Callable[[Inputs, Limits], DataFrame],
     monthly: bool,
     regroup: bool = False,
     summaries: Mapping[str, Summary] = {},
@@ -134,7 +135,7 @@ _MODELS = [
         table="weather",
         layer=STAGING,
         depends_on=("raw.weather",),
-        build=lambda inputs: staging.stage_weather(inputs["raw.weather"]),
+        build=lambda inputs, _: staging.stage_weather(inputs["raw.weather"]),
         path=staging_path("weather"),
         schema=schemas.STAGING["weather"],
         partition_by=PARTITION,
@@ -146,42 +147,42 @@ _MODELS = [
         table="taxi_zone_lookup",
         layer=STAGING,
         depends_on=("raw.taxi_zone_lookup",),
-        build=lambda inputs: staging.stage_zone_lookup(inputs["raw.taxi_zone_lookup"]),
+        build=lambda inputs, _: staging.stage_zone_lookup(inputs["raw.taxi_zone_lookup"]),
         path=staging_path("reference/taxi_zone_lookup"),
         schema=schemas.STAGING["taxi_zone_lookup"],
     ),
     *[_clean_trips(s) for s in _ALL],
-    _mart("trips", _CLEAN, lambda i: marts.trips(_by_service(i, _ALL)), monthly=True),
+    _mart("trips", _CLEAN, lambda i, limits: marts.trips(_by_service(i, _ALL), limits), monthly=True),
     _mart(
         "revenue",
         tuple(f"int_{s}_clean" for s in _PRICED),
-        lambda i: marts.revenue(_by_service(i, _PRICED)),
+        lambda i, limits: marts.revenue(_by_service(i, _PRICED), limits),
         monthly=True,
     ),
     _mart(
         "weather_impact",
         (*_CLEAN, "stg_weather"),
-        lambda i: marts.weather_impact(_by_service(i, _ALL), i["stg_weather"]),
+        lambda i, limits: marts.weather_impact(_by_service(i, _ALL), i["stg_weather"], limits),
         monthly=True,
     ),
     _mart(
         "trips_hourly",
         ("trips",),
-        lambda i: marts.trips_hourly(i["trips"]),
+        lambda i, _: marts.trips_hourly(i["trips"]),
         monthly=True,
         regroup=True,
     ),
     _mart(
         "weather_daily",
         ("weather_impact",),
-        lambda i: marts.fold_days(i["weather_impact"]),
+        lambda i, _: marts.fold_days(i["weather_impact"]),
         monthly=False,
         summaries={"weather_impact": Summary("monthly_days", marts.monthly_days)},
     ),
     _mart(
         "zones_geo",
         ("revenue", "reference.taxi_zones_geo"),
-        lambda i: marts.zones_with_totals(i["reference.taxi_zones_geo"], marts.fold_zone_revenue(i["revenue"])),
+        lambda i, _: marts.zones_with_totals(i["reference.taxi_zones_geo"], marts.fold_zone_revenue(i["revenue"])),
         monthly=False,
         summaries={"revenue": Summary("monthly_zone_revenue", marts.monthly_zone_revenue)},
     ),
@@ -236,11 +237,13 @@ def upstream_models(selected: list[str]) -> list[str]:
 @dataclass
 class Lake:
     """A lake on storage. `model_base` redirects every model, read or written, to a sandbox;
-    raw files and polygons always come from `source_base`."""
+    raw files and polygons always come from `source_base`. `limits` are those of the trips in the
+    marts; months built with other ones keep them until a full refresh."""
 
     spark: SparkSession
     source_base: str
     model_base: str | None = None
+    limits: Limits = USUAL
     _lookup: DataFrame | None = field(default=None, repr=False)
 
     def location(self, name: str) -> str:
@@ -304,7 +307,7 @@ class Lake:
             d: self.summary(d, model.summaries[d]) if d in model.summaries else self._input(d, months)
             for d in model.depends_on
         }
-        return model.build(inputs)
+        return model.build(inputs, self.limits)
 
     def build(self, name: str, months: list[str] | None = None, pending: bool = False) -> None:
         """Write a model, or some months of it: a list, a comma-separated text or one date.

@@ -20,15 +20,19 @@ from tripmart.operators.dimensions import with_zones
 from tripmart.operators.quality import positive, present, times_in_order, unknown_or_positive
 from tripmart.paths import PARTITION
 from tripmart.sources.lake import conform
-from tripmart.sources.schemas import STAGING
+from tripmart.sources.schemas import RAW, STAGING
 
 ZONE_IDS = ("pickup_id", "dropoff_id")
 
 
-def _keyed(raw: DataFrame, pickup: str, dropoff: str, ids: tuple[str, str]) -> DataFrame:
-    """Raw rows plus typed times and zone ids under common names."""
+def _keyed(raw: DataFrame, service: str, pickup: str, dropoff: str, ids: tuple[str, str]) -> DataFrame:
+    """Declared raw columns plus typed times and zone ids under common names.
+
+    Other columns of the files may be named like these or like staged ones, so they end here.
+    """
+    declared = {part.split()[0].lower() for part in RAW[service].split(",")} | {PARTITION}
     return raw.select(
-        "*",
+        *[raw[name] for name in raw.columns if name.lower() in declared],
         to_wall_clock(pickup).alias("pickup_at"),
         to_wall_clock(dropoff).alias("dropoff_at"),
         int_column(raw, ids[0]).alias(ZONE_IDS[0]),
@@ -50,6 +54,7 @@ def _taxi(raw: DataFrame, lookup: DataFrame, service: str, extra: list[Column])
     prefix = {"yellow_taxi": "tpep", "green_taxi": "lpep"}[service]
     keyed = _keyed(
         raw,
+        service,
         f"{prefix}_pickup_datetime",
         f"{prefix}_dropoff_datetime",
         ("PULocationID", "DOLocationID"),
@@ -100,7 +105,7 @@ def stage_green(raw: DataFrame, lookup: DataFrame) -> DataFrame:
 
 
 def stage_app_rides(raw: DataFrame, lookup: DataFrame) -> DataFrame:
-    keyed = _keyed(raw, "pickup_datetime", "dropOff_datetime", ("PUlocationID", "DOlocationID"))
+    keyed = _keyed(raw, "app_rides", "pickup_datetime", "dropOff_datetime", ("PUlocationID", "DOlocationID"))
     kept = keyed.where(
         times_in_order("pickup_at", "dropoff_at") & present("dispatching_base_num", *ZONE_IDS)
     )
@@ -116,7 +121,7 @@ def stage_app_rides(raw: DataFrame, lookup: DataFrame) -> DataFrame:
 
 
 def stage_high_volume(raw: DataFrame, lookup: DataFrame) -> DataFrame:
-    keyed = _keyed(raw, "pickup_datetime", "dropoff_datetime", ("PULocationID", "DOLocationID"))
+    keyed = _keyed(raw, "high_volume_fhv", "pickup_datetime", "dropoff_datetime", ("PULocationID", "DOLocationID"))
     kept = keyed.where(
         times_in_order("pickup_at", "dropoff_at")
         & present(*ZONE_IDS)

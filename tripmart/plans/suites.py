@@ -1,10 +1,10 @@
-"""The declared tests of every table."""
+"""The declared tests of every table. They are part of the data contract."""
 
 from __future__ import annotations
 
 from tripmart.functions.codes import COMPANIES
 from tripmart.operators.checks import WARN, Check
-from tripmart.operators.quality import MAX_MILES, MAX_MINUTES, MIN_MINUTES
+from tripmart.operators.quality import USUAL, Limits
 from tripmart.paths import PARTITION
 
 LOOKUP = "taxi_zone_lookup"
@@ -92,16 +92,21 @@ STAGING = {
     ],
 }
 
-FINAL = {
-    "trips": [
+
+def trip_tests(limits: Limits) -> list[Check]:
+    return [
         *required("taxi_type"),
         listed("taxi_type", "yellow_taxi", "green_taxi", "app_rides", "high_volume_fhv"),
         *required("pickup_datetime", "pickup_borough"),
-        within("trip_duration_minutes", MIN_MINUTES, MAX_MINUTES),
-        within("trip_distance_miles", 0, MAX_MILES),
+        within("trip_duration_minutes", limits.min_minutes, limits.max_minutes),
+        within("trip_distance_miles", 0, limits.max_miles),
         # Tips come on top of the capped fare, so there is no upper bound
         within("fare_amount", 0),
-    ],
+    ]
+
+
+FINAL = {
+    "trips": trip_tests(USUAL),
     "revenue": [*required("pickup_zone", "total_amount"), within("total_amount", 0)],
     "weather_impact": required("date", "taxi_type"),
     "zones_geo": [
@@ -116,3 +121,8 @@ FINAL = {
         listed("day_type", "Weekday", "Weekend"),
     ],
 }
+
+
+def final(limits: Limits = USUAL) -> dict[str, list[Check]]:
+    """The tests of the final tables, of a build with these limits."""
+    return FINAL if limits == USUAL else {**FINAL, "trips": trip_tests(limits)}
