@@ -91,6 +91,42 @@ def test_digest_index_counts_later_batches(spark, tmp_path):
     assert {(r.doc_id, r.keep_id, r.group_size, r.kept) for r in rows} == {(9, 2, 3, False), (8, 2, 3, False), (10, 10, 1, True), (11, None, 2, False)}
 
 
+def test_digest_index_appends_new_digests_only(spark, tmp_path):
+    index = exact_dedup.DigestIndex(spark, f"file://{tmp_path}/index", buckets=4)
+    rows = exact_dedup.digests(frame(spark, ["a", "b", "b"], [1, 2, 3]))
+    for _ in range(2):  # the second time after a failure, say
+        index.append(rows, "first")
+        assert {(r.keep_id, r.group_size) for r in index.rows().collect()} == {(1, 1), (3, 2)}
+    index.append(exact_dedup.digests(frame(spark, ["b", "c"], [9, 10])), "second")
+    assert spark.table(index.table).count() == 3
+    assert {(r.keep_id, r.group_size) for r in index.rows(["second"]).collect()} == {(3, 3), (10, 1)}
+    with pytest.raises(ValueError, match="name of a batch"):
+        index.append(rows, "../first")
+
+
+@pytest.mark.parametrize("batches", [1, 2, 5])
+def test_descending_batches(spark, tmp_path, batches):
+    ids = [(7 * n) % 101 for n in range(101)] + [None, None, -5]
+    texts = [f"text {n % 9}" for n in range(101)] + ["text 3", "alone", "text 4"]
+    docs = frame(spark, texts, ids)
+    parts = exact_dedup._descending(exact_dedup.digests(docs), batches)
+    assert len(parts) == batches and sum(p.count() for p in parts) == len(ids)
+    largest = {t: max([i for i, u in zip(ids, texts) if u == t and i is not None], default=None) for t in texts}
+    index = exact_dedup.DigestIndex(spark, f"file://{tmp_path}/index", buckets=4)
+    found = exact_dedup.decide(docs, index, batches).collect()
+    assert sorted((r.doc_id, r.keep_id, r.group_size) for r in found if r.doc_id is not None) == sorted(
+        (i, largest[t], texts.count(t)) for i, t in zip(ids, texts) if i is not None
+    )
+    assert spark.table(index.table).count() == len(set(texts))
+
+
+def test_no_table_is_left(spark, odd):
+    exact_dedup.exact_dedup(odd).count()
+    before = {t.name for t in spark.catalog.listTables()}
+    assert exact_dedup.exact_dedup(odd).count() == odd.count()
+    assert {t.name for t in spark.catalog.listTables()} == before
+
+
 @pytest.mark.parametrize("width", [2, 5])
 def test_minhash_against_all_pairs(copies, width):
     sets = {}
