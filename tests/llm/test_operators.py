@@ -225,6 +225,17 @@ def test_ids_are_the_library_s(name):
     assert encoder.encode(texts) == encoder.whole(texts)
 
 
+@pytest.mark.parametrize("name", [packing.TOKENIZER, token_files.TOKENIZER])
+def test_pieces_forgotten_and_met_again(monkeypatch, name):
+    monkeypatch.setattr("tripmart.llm.tokens.REMEMBERED", 8)
+    monkeypatch.setattr("tripmart.llm.tokens.LONGEST", 6)
+    encoder = Encoder(tokenizer_path(name))
+    texts = [f"Été word{n} it's 'x' don't' end. (a) {'long' * n}, {n}\nNext_{n} naïve!? {'ab' * (n % 5)}$$$" for n in range(40)] * 2
+    found = [ids for at in range(0, len(texts), 3) for ids in encoder.encode(texts[at : at + 3])]
+    assert found == encoder.whole(texts)
+    assert all(len(piece) <= 6 for piece in [*encoder.first, *encoder.later, *encoder.older])
+
+
 def test_packing(spark, odd, empty):
     texts = [" ".join(prose(n, 5 + 37 * n % 900)) for n in range(150)] + [" ".join(prose(7, 9000))]
     rows = packing.pack(frame(spark, texts), chunk=40).collect()
