@@ -92,6 +92,37 @@ def test_only_small_lookups_are_broadcast(spark, monkeypatch):
     assert dimensions.with_zones(trips, large, "p", "d").where("pickup_zone IS NULL").count() == 50
 
 
+def test_hot_ids_of_a_large_lookup_are_joined_apart(spark, monkeypatch):
+    lookup = spark.createDataFrame([(n, f"z{n}" if n % 7 else None, "b") for n in range(3000)], LOOKUP)
+    # A third of the trips starts in zone 5, a third has no zone, and zone 3,001 and above are unknown
+    trips = spark.range(30_000).selectExpr(
+        "id",
+        "cast(CASE id % 3 WHEN 0 THEN 5 WHEN 1 THEN NULL ELSE id % 4000 END AS int) AS p",
+        "cast(CASE WHEN id % 2 = 0 THEN 7 ELSE id % 3500 END AS int) AS d",
+    )
+    wanted = dimensions.with_zones(trips, lookup, "p", "d")
+    monkeypatch.setattr(dimensions, "BROADCAST_ROWS", 1000)
+    settings = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.enabled": "false"}
+    before = {name: spark.conf.get(name) for name in settings}
+    try:
+        for name, value in settings.items():
+            spark.conf.set(name, value)
+        assert dimensions.hot_ids(trips, "p") == [5]
+        large = dimensions.broadcast_if_small(lookup)
+        found = dimensions.with_zones(trips, large, "p", "d")
+        plan = found._jdf.queryExecution().executedPlan().toString()
+        assert plan.count("SortMergeJoin") == 2 and plan.count("BroadcastHashJoin") == 2
+        assert found.columns == wanted.columns
+        assert found.exceptAll(wanted).isEmpty() and wanted.exceptAll(found).isEmpty()
+        sizes = [r["count"] for r in found.groupBy(F.spark_partition_id()).count().collect()]
+        assert max(sizes) < 1.5 * sum(sizes) / int(spark.conf.get("spark.sql.shuffle.partitions"))
+        none = dimensions.with_zones(trips.where("id < 0"), large, "p", "d")
+        assert none.isEmpty()
+    finally:
+        for name, value in before.items():
+            spark.conf.set(name, value)
+
+
 # --- sinks ----------------------------------------------------------------------------------
 
 
