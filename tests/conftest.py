@@ -4,6 +4,7 @@ import os
 import sys
 
 import pytest
+from pyspark.sql import SparkSession
 
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
@@ -31,3 +32,13 @@ def spark():
     session = make_session()
     yield session
     session.stop()
+
+
+@pytest.fixture(scope="module", autouse=True)
+def no_views_left():
+    """Temporary views belong to no database, so the next module's tests would find them in every one."""
+    yield
+    session = SparkSession.getActiveSession()
+    if session:
+        for row in session.sql("SHOW TABLES").where("isTemporary").collect():
+            session.catalog.dropTempView(row["tableName"])
