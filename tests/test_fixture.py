@@ -11,6 +11,7 @@ from gallery import fixture, stored
 from tripmart.paths import raw_path, under
 from tripmart.plans.staging import SERVICES
 from tripmart.sources.lake import read_lake
+from tripmart.session import RUNTIME, SETTINGS
 
 
 @pytest.fixture(scope="module")
@@ -68,3 +69,12 @@ def test_lines_are_joined_once(spark, tables):
     assert first and fixture.stored_lines(spark, tables).inputFiles() == first
     orders = fixture.table(spark, tables, "orders").count()
     assert fixture.stored_lines(spark, tables).where(F.col("o_orderpriority").isNotNull()).count() > orders
+
+
+def test_lines_are_used_with_the_librarys_settings(spark, tables):
+    other = spark.newSession()
+    for key in RUNTIME:
+        other.conf.unset(key)
+    other.conf.set(RUNTIME[0], "3")
+    fixture.stored_lines(other, tables)
+    assert [other.conf.get(key) for key in RUNTIME] == ["3", SETTINGS[RUNTIME[1]]]
