@@ -3,12 +3,15 @@
 from __future__ import annotations
 
 import os
+from functools import partial
 
 import pytest
 
 import __spark_entry__ as contract
 import corpus_pipeline
 from tests.compare import connect, difference
+from tripmart.llm import minhash, quality, suffixes
+from tripmart.llm.common import BATCH_BYTES, Stored, worker_state
 from tripmart.llm.queries import ORACLES, QUERIES
 
 SF_DIR = "/root/testdata/sf0.001"
@@ -58,3 +61,32 @@ def test_stages(spark):
     assert {i for i, _ in found[2]} == {i for i in own if own[i] == i}
     packed = corpus_pipeline.STAGES[4][1](spark, docs, SF_DIR)
     assert packed.where("piece = 0").count() == len(found[3])
+
+
+def test_batches_are_bounded_in_bytes(spark):
+    """A partition of long texts is not one batch, in any session that an operator ran in."""
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+    spark.conf.unset(key)
+    Stored(spark)
+    texts = spark.range(40, numPartitions=1).selectExpr("id", "repeat('word ', 100000) AS text")
+
+    def sizes(batches):
+        import pyarrow as pa
+
+        for batch in batches:
+            yield pa.RecordBatch.from_pydict({"rows": pa.array([len(batch)]), "bytes": pa.array([batch.nbytes])})
+
+    found = texts.mapInArrow(sizes, "rows bigint, bytes bigint").collect()
+    assert sum(r["rows"] for r in found) == 40
+    assert max(r["bytes"] for r in found) <= 2 * BATCH_BYTES
+    spark.conf.set(key, "1m")
+    Stored(spark)
+    assert spark.conf.get(key) == "1m"
+    spark.conf.unset(key)
+
+
+@pytest.mark.parametrize("function", [quality._described, partial(minhash._signatures, width=2, permutations=6, rows=6), partial(suffixes._suffixes, least=50)])
+def test_workers_forget_what_other_operators_remembered(function):
+    worker_state()["encoders"] = {"path": object()}
+    assert list(function(iter([]))) == []
+    assert "encoders" not in worker_state()

@@ -27,7 +27,7 @@ from functools import partial
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tripmart.llm.common import Stored, components, free_names
+from tripmart.llm.common import Stored, components, forget_worker_state, free_names
 from tripmart.llm.words import mix, slices, string_bytes, word_hashes
 
 PERMUTATIONS = 96
@@ -74,6 +74,7 @@ def _signatures(batches, width: int, permutations: int, rows: int):
     import pyarrow as pa
 
     np.seterr(over="ignore")
+    forget_worker_state()
     draw = np.random.default_rng(11)
     times = draw.integers(0, 2**63, permutations, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
     plus = draw.integers(0, 2**63, permutations, dtype=np.uint64)

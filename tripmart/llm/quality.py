@@ -22,7 +22,7 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tripmart.llm.common import Stored
+from tripmart.llm.common import Stored, forget_worker_state
 from tripmart.llm.words import mix, slices, string_bytes, word_hashes
 
 FEATURES = (
@@ -100,6 +100,7 @@ def _described(batches):
     import pyarrow as pa
 
     np.seterr(over="ignore")
+    forget_worker_state()
     for batch in batches:
         found = [np.empty((0, len(FEATURES)))]
         for start, end in slices(batch.column(1)):
@@ -209,6 +210,7 @@ def keep_good(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD)
         import pyarrow as pa
 
         np.seterr(over="ignore")
+        forget_worker_state()
         at = names.index("text")
         for batch in batches:
             scores = [np.empty(0)]

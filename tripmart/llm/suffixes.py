@@ -30,7 +30,7 @@ from functools import partial
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tripmart.llm.common import Stored
+from tripmart.llm.common import Stored, forget_worker_state
 from tripmart.llm.words import run_hashes, run_sums, slices, string_bytes, word_hashes
 
 LEAST = 50
@@ -82,6 +82,7 @@ def _suffixes(batches, least: int):
     import pyarrow as pa
 
     np.seterr(over="ignore")
+    forget_worker_state()
     key = least - WINDOW + 1
     for batch in batches:
         rows, keys, nexts, places = [], [], [], []
